@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import overlap
+from weftline.llm import formatting, lookalike, overlap
 from weftline.plans.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,28 @@ def p1_report(spark: SparkSession, sf: str) -> DataFrame:
     return overlap.overlap_report(_inputs(spark, sf, "gold_sample", "polynorm"))
 
 
+def _look_alike_fields(spark: SparkSession, sf: str) -> DataFrame:
+    fields = (("async_tn", "input"), ("gold_sample", "expected_output"), ("polynorm", "source.upstream_expected"))
+    parts = [table(spark, sf, t).select(F.lit(f"{t}.{c}").alias("field_name"), "id", F.col(c).alias("text")) for t, c in fields]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return lookalike.look_alike_pairs(_look_alike_fields(spark, sf))
+
+
+def p4_canonical(spark: SparkSession, sf: str) -> DataFrame:
+    return lookalike.canonical_texts(_look_alike_fields(spark, sf))
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return formatting.copies(_inputs(spark, sf, "async_tn", "proteno", "polynorm"))
+
+
+def p5_collapsed(spark: SparkSession, sf: str) -> DataFrame:
+    return formatting.collapsed(_inputs(spark, sf, "async_tn", "proteno", "polynorm"))
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1].isdigit()}
 
