@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import formatting, lookalike, overlap
+from weftline.llm import formatting, leakage, lookalike, overlap
 from weftline.plans.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,22 @@ def p5_collapsed(spark: SparkSession, sf: str) -> DataFrame:
     return formatting.collapsed(_inputs(spark, sf, "async_tn", "proteno", "polynorm"))
 
 
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return leakage.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
+
+
+def p7_spans(spark: SparkSession, sf: str) -> DataFrame:
+    return leakage.leaked_spans(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
+
+
+def p7_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Every evaluation item with the number of documents it leaked into and its longest run there."""
+    spans = leakage.leaked_spans(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
+    hits = spans.groupBy("item_id").agg(F.countDistinct("doc_id").alias("documents"), F.max("n_words").alias("longest_run"))
+    items = table(spark, sf, "eval_items").select("item_id", "split", "lang")
+    return items.join(hits, "item_id", "left").select("item_id", "split", "lang", F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("longest_run", F.lit(0)).alias("longest_run"))
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1].isdigit()}
 
