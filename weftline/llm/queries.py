@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import formatting, leakage, lookalike, overlap
+from weftline.llm import formatting, leakage, lookalike, overlap, splits
 from weftline.plans.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,30 @@ def p5_collapsed(spark: SparkSession, sf: str) -> DataFrame:
     return formatting.collapsed(_inputs(spark, sf, "async_tn", "proteno", "polynorm"))
 
 
+def _split_records(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _inputs(spark, sf, "gold_sample", "polynorm")
+    return rows.select("id", F.col("language").alias("label"), splits.joined_name(F.col("family_id")).alias("family"), "origin", "source_id")
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    return splits.family_groups(_split_records(spark, sf))
+
+
+def p6_assigned(spark: SparkSession, sf: str) -> DataFrame:
+    return splits.assigned_records(_split_records(spark, sf), table(spark, sf, "split_targets"))
+
+
+def p6_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Records, components and share of each split and language beside the target."""
+    targets = table(spark, sf, "split_targets")
+    families = splits.assigned_families(_split_records(spark, sf), targets)
+    whole = families.select("root", "size", "label", "split").distinct()
+    sums = whole.groupBy("split", "label").agg(F.sum("size").alias("records"), F.count("*").alias("components"))
+    of_label = sums.groupBy("label").agg(F.sum("records").alias("of_label"))
+    out = sums.join(of_label, "label").join(targets.select(F.col("split_name").alias("split"), "target_permille"), "split", "left")
+    return out.select("split", F.col("label").alias("language"), "records", "components", F.round(F.col("records") * 1000 / F.col("of_label"), 1).alias("permille"), "target_permille")
+
+
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return leakage.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
 
