@@ -20,6 +20,8 @@ UNKNOWN_IDS = ["", "-", "--", "?", "n/a", "na", "nan", "nil", "none", "null", "t
 SEED = 20260818
 #: Components of at least this share of all records are placed one by one; there are at most its inverse of them.
 LARGE_SHARE = 1 / 500
+#: Cost of a record over the quota of its split, and over that of its label in the split.
+SPLIT_COST, LABEL_COST = 10, 1
 
 
 def joined_name(column: Column) -> Column:
@@ -109,36 +111,40 @@ class Flow:
         return self.edges[edge ^ 1][1]
 
 
-def _allot(supplies: dict, shares: dict[str, float], labels: dict, placed: dict[tuple, int]) -> dict[tuple, int]:
-    """Records of each supply for each split: quotas of a split weigh more than those of a label in it."""
-    total = sum(supplies.values()) + sum(placed.values())
-    of_label: dict = {}
-    for k, n in supplies.items():
-        of_label[labels[k]] = of_label.get(labels[k], 0) + n
+def _allot(mass: dict[str, int], shares: dict[str, float], placed: dict[tuple, int]) -> tuple[dict[tuple, int], int]:
+    """Records of each label for each split beside those placed, and what the records over a quota cost.
+
+    The quota of a split weighs more than that of a label in it.
+    """
+    of_label = dict(mass)
     for (label, _), n in placed.items():
         of_label[label] = of_label.get(label, 0) + n
-    flow, edges = Flow(), {}
-    for k, n in supplies.items():
-        flow.add("source", ("supply", k), n, 0)
-        for s in shares:
-            edges[k, s] = flow.add(("supply", k), (labels[k], s), n, 0)
+    total = sum(of_label.values())
+    flow, edges, cost = Flow(), {}, 0
+    over = []
+    for label, n in mass.items():
+        flow.add("source", ("label", label), n, 0)
     for s, share in shares.items():
-        taken = sum(n for (_, at), n in placed.items() if at == s)
-        flow.add(("split", s), "sink", max(0, round(total * share) - taken), 0)
-        flow.add(("split", s), "sink", total, 10)
+        room = round(total * share) - sum(n for (_, at), n in placed.items() if at == s)
+        cost += SPLIT_COST * max(0, -room)
+        flow.add(("split", s), "sink", max(0, room), 0)
+        over.append((flow.add(("split", s), "sink", total, SPLIT_COST), SPLIT_COST))
         for label, n in of_label.items():
-            flow.add((label, s), ("split", s), max(0, round(n * share) - placed.get((label, s), 0)), 0)
-            flow.add((label, s), ("split", s), total, 1)
+            room = round(n * share) - placed.get((label, s), 0)
+            cost += LABEL_COST * max(0, -room)
+            edges[label, s] = flow.add(("label", label), (label, s), n, 0)
+            flow.add((label, s), ("split", s), max(0, room), 0)
+            over.append((flow.add((label, s), ("split", s), total, LABEL_COST), LABEL_COST))
     flow.run("source", "sink")
-    return {k: flow.through(e) for k, e in edges.items()}
+    return {k: flow.through(e) for k, e in edges.items()}, cost + sum(flow.through(e) * c for e, c in over)
 
 
 def allocate(bundles: list[tuple[int, str, int]], shares: dict[str, float]) -> dict[tuple[int, str], dict[str, int]]:
     """Whole components of each bundle ``(size, label, count)`` for each split.
 
-    Large ones are placed first, from the largest down: the flow is solved for it beside the mass of all that is not
-    placed yet, and it goes where most of its flow goes. The last flow is that of the rest of each label, whose bundles
-    are handed out from the largest size down, each component to the split with most room left.
+    Large ones are placed first, from the largest down: each goes to the split with which the flow of all that is not
+    placed yet costs least, of equal ones to that with most room. The last flow is that of the rest of each label, whose
+    bundles are handed out from the largest size down, each component to the split with most room left.
     """
     total = sum(size * count for size, _, count in bundles)
     out = {(size, label): dict.fromkeys(shares, 0) for size, label, _ in bundles}
@@ -149,13 +155,15 @@ def allocate(bundles: list[tuple[int, str, int]], shares: dict[str, float]) -> d
     placed: dict[tuple, int] = {}
     for size, label in sorted(((size, label) for size, label, count in bundles if size >= least for _ in range(count)), reverse=True):
         mass[label] -= size
-        one = (size, label)
-        flows = _allot({one: size} | mass, shares, {k: k for k in mass} | {one: label}, placed)
-        split = max(shares, key=lambda s: (flows[one, s], s))
-        out[one][split] += 1
-        placed[label, split] = placed.get((label, split), 0) + size
+        tried = []
+        for s in shares:
+            trial = placed | {(label, s): placed.get((label, s), 0) + size}
+            room = total * shares[s] - sum(n for (_, at), n in trial.items() if at == s)
+            tried.append((_allot(mass, shares, trial)[1], -room, s, trial))
+        *_, split, placed = min(tried, key=lambda x: x[:3])
+        out[size, label][split] += 1
     rest = [b for b in bundles if b[0] < least]
-    flows = _allot(mass, shares, {k: k for k in mass}, placed)
+    flows, _ = _allot(mass, shares, placed)
     for label in sorted(mass):
         room = {s: flows[label, s] for s in shares}
         for size, _, count in sorted((b for b in rest if b[1] == label), key=lambda b: -b[0]):
