@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import formatting, leakage, lookalike, overlap, splits
+from weftline.llm import chunking, formatting, leakage, lookalike, mixing, overlap, sampling, splits
 from weftline.plans.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,23 @@ def p1_report(spark: SparkSession, sf: str) -> DataFrame:
     return overlap.overlap_report(_inputs(spark, sf, "gold_sample", "polynorm"))
 
 
+def _stratified(spark: SparkSession, sf: str) -> sampling.Stratified:
+    rows = table(spark, sf, "todo_regressions").select("id", sampling.leading_category(F.col("units")).alias("category"), "language", "status")
+    return sampling.Stratified(rows, table(spark, sf, "category_targets"))
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _stratified(spark, sf).shortfalls()
+
+
+def p2_sample(spark: SparkSession, sf: str) -> DataFrame:
+    return _stratified(spark, sf).sample()
+
+
+def p2_report(spark: SparkSession, sf: str) -> DataFrame:
+    return _stratified(spark, sf).report()
+
+
 def _look_alike_fields(spark: SparkSession, sf: str) -> DataFrame:
     fields = (("async_tn", "input"), ("gold_sample", "expected_output"), ("polynorm", "source.upstream_expected"))
     parts = [table(spark, sf, t).select(F.lit(f"{t}.{c}").alias("field_name"), "id", F.col(c).alias("text")) for t, c in fields]
@@ -91,6 +108,18 @@ def p7_items(spark: SparkSession, sf: str) -> DataFrame:
     return items.join(hits, "item_id", "left").select("item_id", "split", "lang", F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("longest_run", F.lit(0)).alias("longest_run"))
 
 
+def p8_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))[0]
+
+
+def p8_report(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))[1]
+
+
+def p9_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    return chunking.split_texts(table(spark, sf, "documents"), table(spark, sf, "chunk_limits"))
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1].isdigit()}
 
