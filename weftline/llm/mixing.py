@@ -82,9 +82,9 @@ def mixture(documents: DataFrame, mix_targets: DataFrame, total_tokens: int | No
         at[pattern] = start + n
     spans_df = spark.createDataFrame(spans, "names array<string>, source string, size bigint, low bigint, high bigint").withColumn("pattern", F.to_json("names")).drop("names")
     placed = running(texts.withColumn("draw", seeded(seed, "text_id")), ["pattern"], "draw", ["text_id"], F.col("tokens"), "before")
-    # a text begins at before, before + size, before + 2 size, ...: how many of these lie in [low, high)
-    ceiling = lambda c: F.expr(f"({c} - before + size - 1) div size")
-    used = placed.join(F.broadcast(spans_df), "pattern").withColumn("repeats", F.greatest(ceiling("high"), F.lit(0)) - F.greatest(ceiling("low"), F.lit(0))).where("repeats > 0")
+    # the middle of a text is at middle, middle + size, middle + 2 size, ...: how many of these lie in [low, high)
+    ceiling = lambda c: F.expr(f"({c} - middle + size - 1) div size")
+    used = placed.withColumn("middle", F.expr("before + tokens div 2")).join(F.broadcast(spans_df), "pattern").withColumn("repeats", F.greatest(ceiling("high"), F.lit(0)) - F.greatest(ceiling("low"), F.lit(0))).where("repeats > 0")
     chosen = stage(used.select("source", F.expr("filter(members, m -> m.source = source)[0].doc_id").alias("doc_id"), F.col("repeats").cast("int").alias("repeats"), "tokens"), "mix-chosen")
     reached = chosen.groupBy("source").agg(F.sum(F.col("repeats") * F.col("tokens")).alias("tokens"), F.count("*").alias("documents"), F.max("repeats").alias("most_repeats"))
     there = texts.select(F.explode("members.source").alias("source"), "tokens").groupBy("source").agg(F.sum("tokens").alias("available_tokens"))
