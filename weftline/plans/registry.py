@@ -6,15 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.plans import drift
+from weftline.plans import corpus, drift
 
 Query = Callable[[SparkSession, str], DataFrame]
 FLAGSHIP = "dedupe_exact_groups"
 
 
 def queries() -> dict[str, Query]:
-    return {"p3_found": drift.p3_found, "p3_united": drift.p3_united}
+    return corpus.QUERIES | {"p3_found": drift.p3_found, "p3_united": drift.p3_united}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(corpus.SQL)
