@@ -56,7 +56,9 @@ def _fold_table() -> dict[int, str | None]:
 
 
 FOLD = _fold_table()
-_TO_FOLD = re.compile("[" + "".join(re.escape(chr(c)) for c in sorted(FOLD) if c > 127) + "]")
+#: Runs outside ASCII, Latin letters and combining marks, where alone there may be something to fold. A class of every
+#: character in the table would be searched range by range.
+_SUSPECT = re.compile("[^\x00-\x7f\xa1-\xac\xae-\u024f\u0300-\u034e\u0350-\u036f]+")
 WORD = re.compile(r"[^\W_]+")
 _DIGITS = re.compile(r"\d+")
 
@@ -65,9 +67,7 @@ def fold(text: str) -> str:
     """``text`` with every look-alike difference taken out; composed (NFC)."""
     if text.isascii():
         return text
-    if _TO_FOLD.search(text):
-        text = text.translate(FOLD)
-    return unicodedata.normalize("NFC", text)
+    return unicodedata.normalize("NFC", _SUSPECT.sub(lambda m: m[0].translate(FOLD), text))
 
 
 def words(text: str) -> list[str]:
