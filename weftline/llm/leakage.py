@@ -1,12 +1,15 @@
 """Evaluation passages inside training documents (problem 7).
 
 Every run of ``MIN_WORDS`` consecutive words of the evaluation items is a pattern of one Aho-Corasick automaton. Words of
-the items are its letters: a document's words are looked up once, and the automaton reads one code point per word. Hits
-are joined into spans of words and mapped back to offsets of the original text.
+the items are its letters, each coded as two characters of two small alphabets, as the automaton's nodes look through
+their children one by one. A document's words are looked up once; the automaton reads what is left of it in runs of
+known words that are long enough. Hits are joined into spans of words and mapped back to offsets of the original text.
 """
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Iterator
 
 import ahocorasick
@@ -19,7 +22,7 @@ from weftline.llm.textform import words, words_with_offsets
 MIN_WORDS = 12
 #: Characters of items in one automaton. More items are scanned for in further passes, so the broadcast has this bound.
 BLOCK_CHARS = 4_000_000
-_OTHER = chr(1)
+_OTHER = "\x01\x01"
 
 
 class Passages:
@@ -27,13 +30,16 @@ class Passages:
 
     def __init__(self, items: list[tuple[int, str]], least: int = MIN_WORDS) -> None:
         self.least = least
-        self.letters: dict[str, str] = {}
+        tokens = [(item, words(text)) for item, text in items]
+        vocabulary = sorted({w for _, t in tokens for w in t})
+        base = math.isqrt(len(vocabulary)) + 1
+        self.letters = {w: chr(2 + i // base) + chr(2 + base + i % base) for i, w in enumerate(vocabulary)}
+        self.known = re.compile(f"[^\x01]{{{2 * least},}}")
         where: dict[str, list[tuple[int, int]]] = {}
-        for item, text in items:
-            tokens = words(text)
-            coded = "".join(self.letters.setdefault(w, _letter(len(self.letters))) for w in tokens)
-            for at in range(len(coded) - least + 1):
-                where.setdefault(coded[at : at + least], []).append((item, at))
+        for item, t in tokens:
+            coded = "".join(self.letters[w] for w in t)
+            for at in range(len(t) - least + 1):
+                where.setdefault(coded[2 * at : 2 * (at + least)], []).append((item, at))
         self.automaton = ahocorasick.Automaton()
         for pattern, owners in where.items():
             self.automaton.add_word(pattern, owners)
@@ -49,24 +55,19 @@ class Passages:
         coded = "".join([get(w, _OTHER) for w in words(text)])
         runs: dict[tuple[int, int], list[int]] = {}
         out = []
-        for end, owners in self.automaton.iter(coded):
-            start = end - self.least + 1
-            for item, place in owners:
-                run = runs.get((item, start - place))
-                if run and start <= run[0] + run[1] - self.least + 1:
-                    run[1] = start + self.least - run[0]
-                else:
-                    run = runs[item, start - place] = [start, self.least, place]
-                    out.append((item, run))
+        for known in self.known.finditer(coded):
+            for end, owners in self.automaton.iter(coded, known.start(), known.end()):
+                start = end // 2 - self.least + 1
+                for item, place in owners:
+                    run = runs.get((item, start - place))
+                    if run and start <= run[0] + run[1] - self.least + 1:
+                        run[1] = start + self.least - run[0]
+                    else:
+                        run = runs[item, start - place] = [start, self.least, place]
+                        out.append((item, run))
         return sorted((item, *run) for item, run in out)
 
 
-def _letter(n: int) -> str:
-    """The n-th code point that may stand for a word, without the surrogates."""
-    code = n + 2
-    return chr(code if code < 0xD800 else code + 0x800)
-
-
 _CACHE: dict[int, Passages] = {}
 
 
