@@ -66,11 +66,12 @@ def cuts(tokens: np.ndarray, natural: np.ndarray, begin: np.ndarray, limit: int,
     back = lambda e: np.searchsorted(place, place[e] - overlap, "right") - 1
     first = np.repeat(firsts, ends - firsts + 1)
     resume = np.maximum(back(np.maximum(stop, 0)), first)
-    good = (stop > here) & (resume > here)
-    end = np.where(good, stop, reach)
+    # a piece that begins here may follow one that ended as far as this, and has to get beyond it
+    done = np.searchsorted(place, place[np.minimum(here + 1, last)] + overlap, "left") - 1
+    end = np.where((stop > done) & (resume > here), stop, reach)
     end = np.where(reach == last, last, end)  # what is left fits in one piece
     resume = np.maximum(back(end), first)
-    resume = np.where(resume > here, resume, end)  # no overlap where it would not get on
+    resume = np.where((resume > here) & (reach[resume] > end), resume, end)  # no overlap where it would not get on
     succ = np.where(end == last, last, resume)
     known = firsts[firsts < ends]
     table = succ
@@ -140,9 +141,9 @@ def split_texts(documents: DataFrame, limits: DataFrame, vocabulary: str = VOCAB
     A piece begins at the last boundary that leaves at least ``overlap_tokens`` to the end of the piece before it. A word of
     more than half of ``max_tokens - overlap_tokens`` tokens has boundaries inside, between characters. Null and empty texts
     have no pieces; ``include_short`` gives texts within the limit as one piece. ``limits`` is a few rows; those without a
-    positive limit are left out, and an overlap is at most the limit less one.
+    positive limit are left out, and an overlap is at most the limit less three.
     """
-    plans = [(r.plan, r.max_tokens, min(max(r.overlap_tokens or 0, 0), r.max_tokens - 1)) for r in limits.where("max_tokens > 0").select("plan", "max_tokens", "overlap_tokens").distinct().orderBy("plan", "max_tokens", "overlap_tokens").collect()]
+    plans = [(r.plan, r.max_tokens, min(max(r.overlap_tokens or 0, 0), max(0, r.max_tokens - 3))) for r in limits.where("max_tokens > 0").select("plan", "max_tokens", "overlap_tokens").distinct().orderBy("plan", "max_tokens", "overlap_tokens").collect()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
