@@ -10,7 +10,10 @@ from weftline.functions.text import fingerprint
 
 
 def by_each(rows: DataFrame, keys: dict[str, Column], *measures: Column) -> DataFrame:
-    """The measures by each key on its own and overall, in one aggregation over grouping sets: ``section, key, ...``."""
+    """The measures by each key on its own and overall, in one aggregation over grouping sets: ``section, key, ...``.
+
+    A null key is named ``null``. An empty table has no rows, not even the overall one.
+    """
     named = rows.select("*", *[c.alias(f"_by_{k}") for k, c in keys.items()])
     columns = [f"_by_{k}" for k in keys]
     sets = [[F.col(c)] for c in columns] + [[]]
