@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions import hashing, semantics, shapes, spans
-from weftline.operators import census, constraints, counts, discovery, duplicates, ranking, scoring, snapshots, splitting
-from weftline.plans.runtime import table
+from weftline.operators import census, constraints, counts, discovery, duplicates, lifecycle, ranking, scoring, snapshots, splitting
+from weftline.plans.runtime import shared_dir, table
+from weftline.sources import upstream
+from weftline.streaming import events
 
 POOL = ("async_tn", "polynorm", "proteno", "todo_regressions")
 #: Whitespace of the text model as an RE2 class.
@@ -562,3 +565,80 @@ def semantic_validity(spark, sf):
     units = counts.units_of(gold(spark, sf, "id", "units"), "id")
     ok = semantics.valid_semantic(F.col("category"), F.col("unit.semantic"))
     return units.select("category", ok.alias("ok")).where("ok is not null").groupBy("category").agg(F.count("*").alias("units"), F.count_if("ok").alias("valid"))
+
+
+# --- oracles, overlays, cuts, scans
+
+@query(f"""SELECT id, CASE WHEN status = 'no_change' THEN input WHEN status NOT IN ('ambiguous', 'quarantine') THEN expected_output END AS canonical_output FROM {sql_gold('id', 'status', 'input', 'expected_output')}""")
+def oracle_migration(spark, sf):
+    rows = gold(spark, sf, "id", "status", "input", "expected_output", "units")
+    made = lifecycle.derived_oracle(F.col("status"), F.col("input"), F.col("expected_output"), F.col("units"))
+    return rows.select("id", made.alias("o")).select("id", "o.canonical_output").distinct()
+
+
+@query(f"""SELECT language, count(*) AS dates, min(t) AS first_text, max(t) AS last_text FROM (SELECT language, CASE language WHEN 'en' THEN m || ' ' || d || ', ' || y WHEN 'de' THEN d || '. ' || m || ' ' || y WHEN 'es' THEN d || ' de ' || m || ' de ' || y ELSE printf('%04d-%02d-%02d', y::BIGINT, mm::BIGINT, d::BIGINT) END AS t FROM
+    (SELECT *, CASE language {' '.join(f"WHEN '{k}' THEN [{', '.join(chr(39) + n + chr(39) for n in v)}][mm]" for k, v in lifecycle.MONTHS.items())} END AS m FROM (SELECT language, s->>'year' AS y, (s->>'month')::BIGINT AS mm, s->>'day' AS d FROM
+    (SELECT language, u.semantic AS s FROM (SELECT language, unnest(units) AS u FROM {sql_gold('id', 'language', 'units')}) WHERE u.category = 'date' AND u.semantic LIKE '%year%')))) GROUP BY language""")
+def spoken_dates(spark, sf):
+    units = counts.units_of(gold(spark, sf, "id", "language", "units"), "language").where("category = 'date' and unit.semantic like '%year%'")
+    number = lambda k: F.get_json_object("unit.semantic", f"$.{k}").cast("int")
+    spoken = units.select("language", lifecycle.spoken_date(F.col("language"), number("year"), number("month"), number("day")).alias("t"))
+    return spoken.groupBy("language").agg(F.count("*").alias("dates"), F.min("t").alias("first_text"), F.max("t").alias("last_text"))
+
+
+@query("SELECT id, input, expected_output, notes FROM (SELECT DISTINCT id, input, expected_output, notes FROM gold_sample WHERE source.license NOT LIKE 'CC-BY%')")
+def external_overlay(spark, sf):
+    rows = table(spark, sf, "gold_sample").where("source.license not like 'CC-BY%'").select("id", "input", "expected_output", "notes").distinct()
+    return lifecycle.hydrated(lifecycle.overlay(rows.withColumn("key", F.xxhash64("*"))), rows.withColumn("key", F.xxhash64("*")).select("key", "input"), "key").select("id", "input", "expected_output", "notes")
+
+
+@query("SELECT id, locale FROM (SELECT DISTINCT id, locale, units FROM gold_sample WHERE split = 'test' AND language = 'en' AND status = 'gold') WHERE list_contains(list_transform(units, lambda u: u.category), 'date')")
+def release_scan(spark, sf):
+    rows = gold(spark, sf, "id", "split", "language", "locale", "status", "units")
+    return lifecycle.selected(rows, split="test", language="en", status="gold", category="date").select("id", "locale")
+
+
+@query("""WITH r AS (SELECT DISTINCT id, source.source_id AS source_id FROM proteno), n AS (SELECT *, row_number() OVER (ORDER BY id, source_id) AS k, count(*) OVER () AS n FROM r)
+    SELECT id, CASE WHEN k <= floor(n * 0.6) THEN 'upstream_train' ELSE 'upstream_test' END AS source_split FROM n""")
+def upstream_cut(spark, sf):
+    rows = _columns(spark, sf, "proteno", ("id", "source_id"))
+    return lifecycle.positional_cut(rows, ["id", "source_id"]).select("id", "source_split")
+
+
+@query(f"""WITH m AS (SELECT category AS name, category, row_number() OVER (ORDER BY category) AS position FROM (SELECT DISTINCT category FROM category_targets)), u AS (SELECT u.source_category AS c FROM (SELECT unnest(units) AS u FROM (SELECT DISTINCT id, units FROM polynorm)))
+    SELECT u.c AS source_category, coalesce(e.category, l.category, 'none') AS category, count(*) AS n FROM u LEFT JOIN m e ON u.c = e.name LEFT JOIN m l ON lower(u.c) = lower(l.name) GROUP BY 1, 2""")
+def mapping_lookup(spark, sf):
+    names = table(spark, sf, "category_targets").select("category").distinct()
+    mapping = names.select(F.col("category").alias("name"), "category", F.lit("exact").alias("status"), F.col("category").alias("position"))
+    rule = upstream.mapped_category(mapping)
+    units = _columns(spark, sf, "polynorm", ("id", "units")).select(F.explode("units.source_category").alias("source_category"))
+    return units.groupBy("source_category", F.coalesce(rule(F.col("source_category"))["category"], F.lit("none")).alias("category")).agg(F.count("*").alias("n"))
+
+
+_QUEUE = {"production_regression": 50, "unit_conflict": 40, "semantic_risk": 10, "quarantine_review": 5}
+_RISKY = ["date", "time", "decimal", "fraction", "currency", "ip_address", "version"]
+
+
+@query(f"""WITH r AS {sql_pool('id', 'benchmark', 'locale', 'status', 'units')}, u AS (SELECT id, coalesce(locale, '') AS locale, u.category AS category, u.surface AS surface, u.canonical AS canonical FROM (SELECT id, locale, unnest(units) AS u FROM r)),
+    c AS (SELECT locale, category, surface FROM (SELECT coalesce(locale, '') AS locale, u.category AS category, u.surface AS surface, lower({sql_strip('u.canonical')}) AS value FROM (SELECT locale, unnest(units) AS u FROM {sql_gold('id', 'locale', 'units')})) GROUP BY 1, 2, 3 HAVING count(*) >= 2 AND count(DISTINCT value) > 1),
+    k AS (SELECT DISTINCT id FROM u JOIN c USING (locale, category, surface)),
+    f AS (SELECT r.id, benchmark = 'spokenform_regression' AS production_regression, k.id IS NOT NULL AS unit_conflict, list_has_any(list_transform(units, lambda x: x.category), {_RISKY}) AS semantic_risk, status = 'quarantine' AS quarantine_review FROM r LEFT JOIN k USING (id))
+    SELECT id, ({' + '.join(f"CASE WHEN {k} THEN {w} ELSE 0 END" for k, w in _QUEUE.items())})::INTEGER AS priority, concat_ws(',', {', '.join(f"CASE WHEN {k} THEN '{k}' END" for k in sorted(_QUEUE))}) AS reasons FROM f""")
+def adjudication_queue(spark, sf):
+    rows = pool(spark, sf, "id", "benchmark", "locale", "status", "units")
+    conflicts = duplicates.unit_conflicts(gold(spark, sf, "id", "locale", "units")).select("locale", "category", "surface")
+    units = rows.select("id", F.coalesce("locale", F.lit("")).alias("locale"), F.inline(F.transform("units", lambda u: F.struct(u["category"].alias("category"), u["surface"].alias("surface")))))
+    hit = units.join(conflicts, ["locale", "category", "surface"], "left_semi").select("id").distinct().withColumn("unit_conflict", F.lit(True))
+    risky = F.arrays_overlap("units.category", F.array(*map(F.lit, _RISKY)))
+    flags = rows.join(hit, "id", "left").select("id", (F.col("benchmark") == "spokenform_regression").alias("production_regression"), F.coalesce("unit_conflict", F.lit(False)).alias("unit_conflict"), F.coalesce(risky, F.lit(False)).alias("semantic_risk"), (F.col("status") == "quarantine").alias("quarantine_review"))
+    return ranking.prioritised(flags, _QUEUE).select("id", "priority", "reasons")
+
+
+# --- the events stream, run to the end of what is there
+
+@query("SELECT start, event_type, n FROM (SELECT time_bucket(INTERVAL 1 DAY, ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2) WHERE start + INTERVAL 3 DAY <= (SELECT max(ts) FROM events)")
+def stream_windows(spark, sf):
+    """Windows that the watermark has closed when the stream has read everything, as a batch query over them would count."""
+    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    events.run_once(events.windowed(events.read(spark, sf)), f"{base}/out", f"{base}/state")
+    return spark.read.schema("start timestamp, event_type string, n bigint").parquet(f"{base}/out")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def read(spark: SparkSession, folder: str, pattern: str = "events.parquet") -> DataFrame:
     schema = spark.read.parquet(f"{folder}/{pattern}").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def windowed(events: DataFrame, width: str = "1 day", late: str = "2 days") -> DataFrame:
