@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import chunking, formatting, leakage, lookalike, mixing, overlap, sampling, splits
+from weftline.llm import chunking, formatting, leakage, lookalike, mixing, oracles, overlap, sampling, splits
 from weftline.plans.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,4 +125,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)

@@ -51,7 +51,7 @@ def _fold_table() -> dict[int, str | None]:
         elif kind == "Cf" or 0xFE00 <= code <= 0xFE0F or 0xE0100 <= code <= 0xE01EF or char in INVISIBLE_LETTERS:
             table[code] = None
         elif 0xFF01 <= code <= 0xFF5E or 0xFFE0 <= code <= 0xFFE6:
-            table[code] = unicodedata.normalize("NFKC", char)[-1]
+            table[code] = chr(int(unicodedata.decomposition(char).split()[1], 16))
     return table | _look_alikes()
 
 
