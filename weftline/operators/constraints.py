@@ -62,8 +62,8 @@ def unit_violations(records: DataFrame) -> DataFrame:
         "canonical_not_accepted": F.col("u.canonical").isNotNull() & ~F.coalesce(F.array_contains("u.accepted", F.col("u.canonical")), F.lit(False)),
         "accepted_and_rejected": F.coalesce(F.arrays_overlap("u.accepted", "u.rejected"), F.lit(False)),
     }
-    if has("mapping_status"):
-        rules["unknown_mapping"] = ~F.coalesce(F.col("u.mapping_status").isin(list(MAPPINGS)), F.lit(False))
+    if has("mapping_status") and has("source_category"):
+        rules["unknown_mapping"] = F.col("u.source_category").isNotNull() & ~F.coalesce(F.col("u.mapping_status").isin(list(MAPPINGS)), F.lit(False))
     broken = F.filter(F.array(*[F.when(c, F.lit(name)) for name, c in rules.items()]), lambda r: r.isNotNull())
     return units.select("record_id", F.explode(broken).alias("rule"), F.coalesce("u.surface", F.lit("")).alias("detail"))
 
