@@ -110,7 +110,7 @@ def test_splits(spark):
 
 
 def test_scores(spark):
-    rows = [("a", "en", "l", "gold", "test", "i", "Out", ["Out", "Alt"], 2, ["x", "y"]), ("b", "en", "l", "no_change", "test", "same", "same", ["same"], 0, []), ("c", "de", "l", "gold", "candidate", "i", "o", [], 1, ["x"]), ("d", "de", "l", "ambiguous", "test", "i", None, [], 1, ["x"]), ("e", "de", "l", "multi_valid", None, "i", "q", [f"v{i}" for i in range(301)], 1, ["x"]), ("f", "de", "l", "gold", "test", "i", None, None, 1, ["x"])]
+    rows = [("a", "en", "l", "gold", "test", "i", "Out", ["Out", "Ａlt"], 2, ["x", "y"]), ("b", "en", "l", "no_change", "test", "same", "same", ["same"], 0, []), ("c", "de", "l", "gold", "candidate", "i", "o", [], 1, ["x"]), ("d", "de", "l", "ambiguous", "test", "i", None, [], 1, ["x"]), ("e", "de", "l", "multi_valid", None, "i", "q", [f"v{i}" for i in range(301)], 1, ["x"]), ("f", "de", "l", "gold", "test", "i", None, None, 1, ["x"])]
     df = spark.createDataFrame(rows, "id string, language string, locale string, status string, split string, input string, canonical string, accepted array<string>, n_units int, categories array<string>")
     predictions = spark.createDataFrame([("a", " alt "), ("b", "changed"), ("e", "V299")], "id string, output string")
     flags = {r.id: (r.missing, r.canonical_match, r.accepted_match, r.weight, r.mutated) for r in scoring.evaluated(df, predictions).collect()}

@@ -7,7 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 #: Whitespace as the text model knows it: Unicode spaces and the four information separators.
 SPACES = "(?U)[\\s\\x1c-\\x1f]+"
@@ -50,6 +50,16 @@ def _nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKC", t), na_action="ignore")
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def _nfkc_each(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda ts: None if ts is None else [t if t is None or t.isascii() else unicodedata.normalize("NFKC", t) for t in ts])
+
+
+def exact_keys(texts: Column) -> Column:
+    """``exact_key`` of each text of an array."""
+    return F.transform(_nfkc_each(texts), lambda t: casefold(collapse(F.coalesce(t, F.lit("")))))
+
+
 def exact_key(text: Column) -> Column:
     """Comparison form of sentences: NFKC, whitespace collapsed, case folded. Null counts as empty."""
     return casefold(collapse(_nfkc(F.coalesce(text, F.lit("")))))

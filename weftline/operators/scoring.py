@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.functions.text import exact_key
+from weftline.functions.text import exact_key, exact_keys
 from weftline.operators.counts import by_each
 
 SCORABLE = ("gold", "multi_valid", "policy_choice", "no_change")
@@ -27,7 +27,7 @@ def evaluated(records: DataFrame, predictions: DataFrame) -> DataFrame:
     output = exact_key(F.col("output"))
     canonical = output == exact_key(F.col("canonical"))
     listed = F.exists(F.coalesce("accepted_keys", F.array().cast("array<string>")), lambda k: k == F.col("output_key"))
-    keyed = joined.withColumn("output_key", output).withColumn("canonical_match", canonical).withColumn("accepted_keys", F.transform("accepted", _simple_key))
+    keyed = joined.withColumn("output_key", output).withColumn("canonical_match", canonical).withColumn("accepted_keys", exact_keys(F.col("accepted")))
     return keyed.select(
         "id", "language", "locale", "status", "categories",
         F.col("present").isNull().alias("missing"), "canonical_match", (F.col("canonical_match") | listed).alias("accepted_match"),
@@ -36,13 +36,6 @@ def evaluated(records: DataFrame, predictions: DataFrame) -> DataFrame:
     )
 
 
-def _simple_key(text: Column) -> Column:
-    """The comparison form inside a lambda, where no Python function can run: without the compatibility forms."""
-    from weftline.functions.text import casefold, collapse
-
-    return casefold(collapse(F.coalesce(text, F.lit(""))))
-
-
 def rate(hits: Column, of: Column) -> Column:
     """A share with 0 for an empty denominator."""
     return F.round(F.coalesce(F.try_divide(hits, of), F.lit(0.0)), 6)
