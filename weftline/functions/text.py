@@ -21,7 +21,21 @@ def _unlike_lower() -> dict[str, str]:
 
 
 _FOLDS = _unlike_lower()
-_FOLD_CLASS = "[" + "".join(f"\\x{{{ord(c):X}}}" for c in _FOLDS) + "]"
+
+
+def _ranges(codes: list[int], gap: int) -> str:
+    """A character class of few ranges around the codes: neighbours at most ``gap`` apart share one, single Latin ones do not."""
+    out: list[list[int]] = []
+    for c in sorted(codes):
+        if out and c >= 0x250 and out[-1][0] >= 0x250 and c - out[-1][1] <= gap:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in out) + "]"
+
+
+#: Finds more than the characters themselves, but in a few comparisons; what it finds goes through the table one by one.
+_FOLD_CLASS = _ranges([ord(c) for c in _FOLDS], 0x300)
 
 
 def casefold(text: Column) -> Column:

@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from weftline.functions.shapes import token_shape
 
 
+#: What a token needs for any shape at all; most words of a text have none of it.
+_HINT = r"[0-9^_#@/\\:=+]|[A-Z]{2}"
+
+
 def tokens(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Tokens between whitespace with their place: ``key, nth, token, shape``; those without a shape are left out."""
     found = texts.select(key, F.posexplode(F.regexp_extract_all(text, F.lit("\\S+"), F.lit(0))).alias("nth", "token"))
-    return found.withColumn("shape", token_shape(F.col("token"))).where("shape is not null")
+    return found.where(F.col("token").rlike(_HINT)).withColumn("shape", token_shape(F.col("token"))).where("shape is not null")
 
 
 def shape_counts(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
