@@ -38,6 +38,16 @@ def test_shard_finds_all_pairs_within_the_bound(seed):
     assert set(zip(t.tolist(), e.tolist(), strict=True)) == want
 
 
+@pytest.mark.parametrize("most", [1, 3, 50])
+def test_cuts_between_located_seeds_lose_no_pair(monkeypatch, most):
+    monkeypatch.setattr(overlap, "_slices", lambda size, _, cut=overlap._slices: cut(size, most))
+    texts = _texts(5, 100) + ["a b c d e f g", "a b c x e f g"]
+    is_eval = np.array([i % 2 == 1 for i in range(102)])
+    t, e = overlap.search_shard(np.zeros(102, np.int64), is_eval, pa.array(texts))
+    want = {(i, j) for i in range(0, 102, 2) for j in range(1, 102, 2) if _edits(texts[i].split(), texts[j].split()) <= 3}
+    assert set(zip(t.tolist(), e.tolist(), strict=True)) == want and (100, 101) in want
+
+
 def test_index_counts_and_locates():
     draw = np.random.default_rng(1)
     symbols = np.where(draw.random(400) < 0.1, 0, draw.integers(1, 5, 400))

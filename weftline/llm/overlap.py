@@ -30,6 +30,8 @@ CELL_TEXTS = 1_000
 BLOCK_TEXTS = 4_000
 #: Word symbols gathered before an index shard is built.
 SHARD_SYMBOLS = 400_000
+#: Seed occurrences located at once.
+HITS = 2_000_000
 SAMPLE = 8
 
 
@@ -207,7 +209,7 @@ def search_shard(cell: np.ndarray, is_eval: np.ndarray, norm: pa.Array, edits: i
             ends, low, high = ends[~full], low[~full], high[~full]
         start = np.concatenate([h[0] for h in hits]) if hits else np.zeros(0, np.int64)
         low, high = (np.concatenate([h[i] for h in hits]) if hits else np.zeros(0, np.int64) for i in (1, 2))
-        for part in _slices(high - low, 2_000_000):
+        for part in _whole_texts(of_word[start], high - low, HITS):
             found.append(_merged(start[part], low[part], high[part], index, e_of, e_begin, e_count, evals, of_word, word_at, counts, seed, edits))
     # texts of so few words that they need not share any
     short_e, short_t = evals[counts[evals] <= edits], trains[counts[trains] <= edits]
@@ -246,15 +248,31 @@ def _slices(size: np.ndarray, most: int) -> Iterator[slice]:
         at = to
 
 
-def _merged(start, low, high, index, e_of, e_begin, e_count, evals, of_word, word_at, counts, seed, edits):
-    """Candidate pairs whose located seeds, merged along diagonals into maximal matches, cover enough words."""
+def _near(start, low, high, index, e_of, e_begin, of_word, word_at, edits):
+    """Located seeds (evaluation text, train text, shift, first word) whose places differ by no more than the edit bound."""
     where = index.locate(_ranges(low, high))
     first = np.repeat(start, high - low)
     e = e_of[where]
     t = of_word[first]
     shift = (where - e_begin[e]) - word_at[first]
     near = np.abs(shift) <= edits  # no more words than the bound can have come or gone before a kept run
-    e, t, shift, first = e[near], t[near], shift[near], word_at[first[near]]
+    return e[near], t[near], shift[near], word_at[first[near]]
+
+
+def _whole_texts(text: np.ndarray, size: np.ndarray, most: int) -> Iterator[slice]:
+    """Slices with all hits of their texts, as covers are summed over a text's hits. Those have one depth, so they stand together."""
+    if not len(text):
+        return
+    at = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
+    ends = np.append(at[1:], len(text))
+    for part in _slices(np.add.reduceat(size, at), most):
+        yield slice(at[part.start], ends[part.stop - 1])
+
+
+def _merged(start, low, high, index, e_of, e_begin, e_count, evals, of_word, word_at, counts, seed, edits):
+    """Candidate pairs whose located seeds, merged along diagonals into maximal matches, cover enough words."""
+    near = [_near(start[part], low[part], high[part], index, e_of, e_begin, of_word, word_at, edits) for part in _slices(high - low, HITS)]  # one slice, unless a single text has more
+    e, t, shift, first = (np.concatenate([x[i] for x in near]) for i in range(4))
     order = np.lexsort((first, shift, e, t))
     e, t, shift, first = e[order], t[order], shift[order], first[order]
     if not len(t):
