@@ -1,3 +1,4 @@
+import json
 import random
 from collections import Counter
 
@@ -148,6 +149,38 @@ def test_greedy_batch_takes_what_a_loop_takes(spark):
         assert [r.id for r in ranking.greedy_batch(df, 9, 4, 3, languages).orderBy("place").collect()] == taken
 
 
+def test_candidates_have_all_reasons(spark):
+    unit = "array<struct<category string, surface string, canonical string, features string, mapping_status string>>"
+    u = lambda c, s, out, pattern=None, family=None, status="exact": (c, s, out, json.dumps({"surface_pattern": pattern, "ambiguity_family": family}), status)
+    rows = [
+        ("a", "en", "f", "en", "s1", "One", "x", None, [u("date", "1", "one", "p")]), ("b", "en", "f", "en", "s2", "one", "X ", None, [u("date", "1", "one", "p")]),
+        ("c", "de", "f", None, "s1", "two", None, "y", [u("date", "2", "zwei", "q"), u("new", "3", "drei", "p", "m", "broader")]),
+        ("d", "en", "f", None, "s1", "three", None, None, []), ("e", "en", "f", None, "s1", "three", None, "z", None), ("g", "en", "f", "en", "s1", "four", None, "1", [u("time", "4", "four", "p")]), ("h", "en", "f", "en", "s1", "four", None, "2", [u("time", "4", "vier", "p")]),
+    ]
+    df = spark.createDataFrame(rows, f"id string, language string, family_id string, locale string, benchmark string, input string, upstream_expected string, expected_output string, units {unit}")
+    reviewed = spark.createDataFrame([("1", "en", [u("date", "9", "nine", "p")] * 2), ("2", "en", [u("time", "9", "nine", "p")])], f"id string, language string, units {unit}")
+    least = spark.createDataFrame([("time", 1), (None, 3)], "category string, min_units int")
+    required = spark.createDataFrame([("date", "p"), ("date", "q")], "category string, pattern string")
+    ranked = ranking.prioritised(ranking.candidate_flags(df, reviewed, least, required), ranking.REASONS)
+    got = {r.id: (r.priority, set(r.reasons.split(","))) for r in ranked.collect()}
+    same = {"category_below_minimum", "cross_source_duplicate", "duplicate_exact_input_output"}
+    assert got["a"] == got["b"] == (35, same)
+    assert got["c"] == (100 + 50 + 40 + 30 + 20 + 15 + 10 - 30, {"category_missing", "category_below_minimum", "required_pattern_missing", "new_language_for_category", "multi_unit", "ambiguity_family", "rare_surface_pattern", "broad_or_ambiguous_mapping"})
+    assert got["d"] == got["e"] == (-70, {"metadata_only", "duplicate_exact_input_output"})
+    assert got["g"] == got["h"] == (25 - 20, {"source_disagreement", "duplicate_exact_input_output"})
+    assert len(got) == ranked.count() == 7 and ranking.candidate_flags(df.limit(0), reviewed, least, required).count() == 0
+
+
+def test_adjudication_counts_each_gap_category(spark):
+    unit = "array<struct<category string, surface string, canonical string>>"
+    df = spark.createDataFrame([("a", "spokenform_regression", None, "gold", [("date", "1", "x"), ("date", "2", "x"), ("k", "3", "x"), ("ok", "3", "x")]), ("b", "s", "en", "quarantine", [(None, "5", "x")]), ("c", None, None, None, None)], f"id string, benchmark string, locale string, status string, units {unit}")
+    conflicts = spark.createDataFrame([("en", None, "5")], "locale string, category string, surface string")
+    gaps = spark.createDataFrame([("date",), ("date",), ("k",)], "category string")
+    got = {r.id: (r.priority, r.reasons) for r in ranking.adjudication(df, conflicts, gaps).collect()}
+    assert got == {"a": (90, "coverage_gap:date,coverage_gap:k,production_regression,semantic_risk"), "b": (45, "quarantine_review,source_disagreement"), "c": (0, "")}
+    assert ranking.adjudication(df, conflicts, gaps.limit(0)).where("id = 'a'").first().priority == 60
+
+
 def test_priorities(spark):
     df = spark.createDataFrame([("a", True, True), ("b", False, None)], "id string, x boolean, y boolean")
     assert [(r.priority, r.reasons) for r in ranking.prioritised(df, {"y": -30, "x": 20}).orderBy("id").collect()] == [(-10, "x,y"), (0, "")]

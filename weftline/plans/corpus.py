@@ -18,6 +18,10 @@ POOL = ("async_tn", "polynorm", "proteno", "todo_regressions")
 #: Whitespace of the text model as an RE2 class.
 WS = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 LANGUAGES = ["cs", "de", "en", "es", "fr", "it", "pt"]
+#: Surface patterns that the coverage targets ask for.
+REQUIRED_PATTERNS = {
+    "decimal": ["plain_decimal", "leading_decimal", "leading_zero", "negative_decimal", "grouped_decimal"], "date": ["iso_date", "slash_date", "month_name_date", "ambiguous_numeric_date"], "time": ["time_12h", "time_24h", "midnight", "leading_zero_time"], "fraction": ["numeric_fraction", "fraction_vs_slash"], "identifier": ["letters_digits", "mixed_identifier", "identifier_vs_word"], "score_or_range": ["score", "numeric_range", "countdown"], "math_expression": ["subtraction", "division", "power", "subscript"], "version": ["simple_version", "semantic_version", "prerelease_version"], "ip_address": ["ipv4"], "url_or_email": ["url", "email"], "acronym": ["initialism", "word_like_acronym", "plural_acronym"],
+}
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -168,9 +172,13 @@ def coverage(spark, sf):
     UNION ALL SELECT category, 'negative_controls', '', negatives, 2 FROM row WHERE negatives < 2
     UNION ALL SELECT category, 'language', detail, 0, 1 FROM (SELECT category, unnest([{', '.join(f"'{x}'" for x in LANGUAGES)}]) AS detail FROM row) w ANTI JOIN seen USING (category, detail)""")
 def coverage_gaps(spark, sf):
+    return counts.coverage_gaps(gold(spark, sf, *_COVER), _least(spark, sf), LANGUAGES)
+
+
+def _least(spark, sf):
     named = table(spark, sf, "category_targets").groupBy("category").agg(F.sum("min_records").alias("min_units")).withColumn("min_ambiguous", F.lit(2)).withColumn("min_negatives", F.lit(2))
     default = spark.range(1).select(F.lit(None).cast("string").alias("category"), F.lit(20).cast("bigint").alias("min_units"), F.lit(2).alias("min_ambiguous"), F.lit(2).alias("min_negatives"))
-    return counts.coverage_gaps(gold(spark, sf, *_COVER), named.unionByName(default), LANGUAGES)
+    return named.unionByName(default)
 
 
 _EXCLUDED = ("id", "benchmark", "source_id", "language", "input", "units")
@@ -458,9 +466,25 @@ def review_batch_capped(spark, sf):
     return ranking.capped(_ranked(spark, sf), "language", 5, 25).select("id", "language", "priority")
 
 
+def _ranked_by_all(spark, sf):
+    rows = pool(spark, sf, *_RANKED, "locale")
+    required = spark.createDataFrame([(c, p) for c, names in REQUIRED_PATTERNS.items() for p in names], "category string, pattern string")
+    return ranking.prioritised(ranking.candidate_flags(rows, gold(spark, sf, "id", "language", "units"), _least(spark, sf), required), ranking.REASONS)
+
+
+@query()  # all twelve reasons; tested against a plain loop
+def rank_candidates_all_reasons(spark, sf):
+    return _ranked_by_all(spark, sf).select("id", "priority", "reasons")
+
+
+@query()  # all twelve reasons
+def review_batch_capped_all_reasons(spark, sf):
+    return ranking.capped(_ranked_by_all(spark, sf), "language", 5, 25).select("id", "language", "priority")
+
+
 @query()  # a sequential rule; tested against a plain loop
 def review_batch_greedy(spark, sf):
-    return ranking.greedy_batch(_ranked(spark, sf), 50, 4, 2)
+    return ranking.greedy_batch(_ranked_by_all(spark, sf), 50, 4, 2)
 
 
 # --- merge, difference, review comparison
@@ -634,6 +658,12 @@ def adjudication_queue(spark, sf):
     return ranking.prioritised(flags, _QUEUE).select("id", "priority", "reasons")
 
 
+@query()  # with a reason per gap category; tested on a small table
+def adjudication_queue_with_gaps(spark, sf):
+    rows = pool(spark, sf, "id", "benchmark", "locale", "status", "units")
+    return ranking.adjudication(rows, duplicates.unit_conflicts(gold(spark, sf, "id", "locale", "units")), coverage_gaps(spark, sf))
+
+
 # --- the events stream, run to the end of what is there
 
 @query("SELECT start, event_type, n FROM (SELECT time_bucket(INTERVAL 1 DAY, ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2) WHERE start + INTERVAL 3 DAY <= (SELECT max(ts) FROM events)")
