@@ -51,6 +51,13 @@ def test_nested_fields_and_kinds():
     assert sd.parse("") is None and sd.parse("[" * 100_000) is None and sd.parse('{"a": 1}') == {"a": 1}
 
 
+def test_united_keeps_different_rows_of_one_key_and_a_reused_name(spark):
+    rows = [(1, {"row_id": "a", "t": "x", "n": 1}), (1, {"row_id": "a", "t": "y", "n": 1}), (1, {"n": 1, "t": "y", "row_id": "a"}), (2, {"row_id": "a", "u": "y", "n": 1}), (3, {"row_id": "a", "u": "y", "t": "new", "n": 1}), (4, {"row_id": "b", "t": "more", "n": 2})]
+    drift = _drift(spark, [("f", i, i) for i in range(1, 5)], rows)
+    assert ("f", 2, "renamed", "t", "u") in {tuple(r) for r in drift.changes.collect()}
+    assert sorted((r.file_id, r.t or "", r.t_2 or "") for r in drift.united().collect()) == [(1, "x", ""), (1, "y", ""), (2, "y", ""), (3, "y", "new"), (4, "", "more")]
+
+
 def test_empty_tables(spark):
     drift = _drift(spark, [("f", 1, 0)], [(1, {"row_id": "a"})])
     assert drift.changes.count() == 0

@@ -9,6 +9,7 @@ Renames then carry every field back to the name it first had, and all rows are c
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 from collections.abc import Iterator
 
@@ -250,6 +251,8 @@ class Drift:
     def names(self) -> DataFrame:
         """``feed, file_id, field, column``: the name each file's field has in the united table, the first it had in its feed.
 
+        A new field whose name another field had before gets a column of its own, ``name_2``.
+
         Files are streamed in the order of export, with the current names of one feed at a time at hand.
         """
         marks = self.order.select("feed", "exported_at", "file_id")
@@ -258,15 +261,22 @@ class Drift:
         rows = marks.join(renamed, "file_id", "left").join(fields, "file_id", "left").repartition("feed").sortWithinPartitions("feed", "exported_at", "file_id")
 
         def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            feed, first = None, {}
+            feed, first, used = None, {}, set()
             for part in parts:
                 out = []
                 for r in part.itertuples():
                     if r.feed != feed:
-                        feed, first = r.feed, {}
+                        feed, first, used = r.feed, {}, set()
                     moved = {e["new_name"]: first.get(e["old_name"], e["old_name"]) for e in (r.renames if r.renames is not None else ())}
-                    first |= moved
-                    out += [(r.feed, r.file_id, f, first.get(f, f)) for f in (r.fields if r.fields is not None else ())]
+                    fields = sorted(r.fields) if r.fields is not None else []
+                    first = {k: v for k, v in first.items() if k not in {e["old_name"] for e in (r.renames if r.renames is not None else ())}} | moved
+                    held = set(first.values())
+                    for f in fields:
+                        if f not in first and f in held:  # the column of another field, which had this name before
+                            first[f] = next(n for n in (f"{f}_{k}" for k in itertools.count(2)) if n not in used and n not in fields)
+                            held.add(first[f])
+                        used.add(first.get(f, f))
+                        out.append((r.feed, r.file_id, f, first.get(f, f)))
                 yield pd.DataFrame(out, columns=["feed", "file_id", "field", "column"])
 
         return rows.select("feed", "file_id", "renames", "fields").mapInPandas(run, "feed string, file_id bigint, field string, column string")
@@ -290,12 +300,12 @@ class Drift:
                 for number, file_id, feed, payload, entries in zip(*(b.column(c).to_pylist() for c in ("row_no", "file_id", "feed", "payload", "names")), strict=True):
                     record = parse(payload)
                     if record is not None:
-                        out.append((feed, file_id, row_key(record, number), list(renamed(record, dict(entries)).items())))
+                        out.append((feed, file_id, row_key(record, number), sorted(renamed(record, dict(entries)).items())))
                 columns = list(zip(*out, strict=True)) or [[]] * 4
                 kinds = [pa.string(), pa.int64(), pa.string(), pa.map_(pa.string(), pa.string())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["feed", "file_id", "row_key", "fields"])
 
-        flat = rows.mapInArrow(run, "feed string, file_id bigint, row_key string, fields map<string,string>").groupBy("feed", "file_id", "row_key").agg(F.min(F.to_json("fields")).alias("fields")).withColumn("fields", F.from_json("fields", "map<string,string>"))
+        flat = rows.mapInArrow(run, "feed string, file_id bigint, row_key string, fields map<string,string>").select("feed", "file_id", "row_key", F.to_json("fields").alias("fields")).distinct().withColumn("fields", F.from_json("fields", "map<string,string>"))
         taken = ("feed", "file_id", "row_key", "rest")
         target = lambda name: name if name.lower() not in taken else f"{name}_field"
         cast = {name: _cast(F.col("fields")[name], kind) for name, kind in chosen}
