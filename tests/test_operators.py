@@ -149,6 +149,12 @@ def test_greedy_batch_takes_what_a_loop_takes(spark):
         assert [r.id for r in ranking.greedy_batch(df, 9, 4, 3, languages).orderBy("place").collect()] == taken
 
 
+def test_greedy_batch_binds_rows_without_categories_by_family_only(spark):
+    rows = [(f"r{i}", "en", "f", [] if i < 6 else ["a"], 9 - i) for i in range(9)]
+    df = spark.createDataFrame(rows, "id string, language string, family_id string, categories array<string>, priority int")
+    assert [r.id for r in ranking.greedy_batch(df, 9, 1, 5).orderBy("place").collect()] == ["r0", "r1", "r2", "r3", "r4"]
+
+
 def test_candidates_have_all_reasons(spark):
     unit = "array<struct<category string, surface string, canonical string, features string, mapping_status string>>"
     u = lambda c, s, out, pattern=None, family=None, status="exact": (c, s, out, json.dumps({"surface_pattern": pattern, "ambiguity_family": family}), status)

@@ -130,10 +130,10 @@ def greedy_batch(ranked: DataFrame, limit: int, max_per_category: int, max_per_f
     """``greedy`` over a table: rows stream from its sorted partitions one partition at a time, and only as far as needed.
 
     A row whose category has ``max_per_category`` better ones of its own set of categories and family can't be taken, so
-    each such group is cut to what it could fill at most before the sort.
+    each such group is cut to what it could fill at most before the sort. No category cap binds rows without categories.
     """
-    signature = F.array_join(F.array_sort("categories"), ",")
-    own = Window.partitionBy("language", "family_id", signature).orderBy(*order())
-    useful = ranked.withColumn("_place", F.row_number().over(own)).where(F.col("_place") <= min(max_per_category, max_per_family)).drop("_place")
+    own = Window.partitionBy("language", "family_id", F.array_sort("categories")).orderBy(*order())
+    most = F.when(F.size("categories") == 0, max_per_family).otherwise(min(max_per_category, max_per_family))
+    useful = ranked.withColumn("_place", F.row_number().over(own)).where(F.col("_place") <= most).drop("_place")
     rows = greedy(useful.orderBy(*order()).select("id", "language", "family_id", "categories", "priority").toLocalIterator(), limit, max_per_category, max_per_family, languages)
     return ranked.sparkSession.createDataFrame([(r["id"], r["language"], r["family_id"], r["priority"], i + 1) for i, r in enumerate(rows)], "id string, language string, family_id string, priority int, place int")
