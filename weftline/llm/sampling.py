@@ -93,6 +93,7 @@ class Stratified:
     """The counted strata and the repaired sample; see ``shortfalls``, ``report`` and ``sample``.
 
     ``targets`` has one row per stratum and is small; what is collected is one count per stratum, and one of all records.
+    A null or empty targets table has no strata, so nothing falls short and the sample is drawn from all records.
     """
 
     def __init__(self, records: DataFrame, targets: DataFrame, share: Fraction = SAMPLE_SHARE, seed: int = SEED) -> None:
@@ -107,16 +108,19 @@ class Stratified:
         outside = counted.get((None, None, None), 0)  # drawn from only as far as the strata do not hold enough
         goal = [self.size * (t.target_permille or 0) / 1000 for t in self.strata]
         inside = min(self.size, sum(self.have))
-        drawn = swap_repair(self.have, [min(t.min_records or 0, h) for t, h in zip(self.strata, self.have, strict=True)], goal, inside, seed)
-        self.drawn = [*drawn, min(outside, self.size - inside)]
+        # a stratum that cannot reach what it needs gives all it has, the others at least their minimum; minimums come before the size
+        floors = [h if h < n else min(h, t.min_records or 0) for t, n, h in zip(self.strata, self.need, self.have, strict=True)]
+        drawn = swap_repair(self.have, floors, goal, max(inside, sum(floors)), seed)
+        self.drawn = [*drawn, min(outside, max(0, self.size - sum(drawn)))]
 
     def report(self) -> DataFrame:
-        rows = [(t.category, t.language, t.status, int(t.target_permille or 0), int(t.min_records or 0), need, have, drawn, max(0, need - have)) for t, need, have, drawn in zip(self.strata, self.need, self.have, self.drawn, strict=False)]
+        """Each stratum with its repaired count. It misses what it needs where the repair drew all there is and that is less."""
+        rows = [(t.category, t.language, t.status, int(t.target_permille or 0), int(t.min_records or 0), need, have, drawn, max(0, need - drawn) if drawn == have else 0) for t, need, have, drawn in zip(self.strata, self.need, self.have, self.drawn, strict=False)]
         schema = "category string, language string, status string, target_permille int, min_records int, needed bigint, available bigint, drawn bigint, missing bigint"
         return self.spark.createDataFrame(rows, schema)
 
     def shortfalls(self) -> DataFrame:
-        """Strata with fewer records than needed."""
+        """Strata that the repaired sample leaves below what they need though it drew all their records."""
         return self.report().where("missing > 0").select(*KEYS)
 
     def sample(self) -> DataFrame:
