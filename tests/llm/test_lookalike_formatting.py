@@ -24,6 +24,14 @@ def test_look_alike_pairs_match_folding(spark):
     assert lookalike.look_alike_pairs(df.limit(0)).count() == 0
 
 
+def test_one_form_over_all_fields(spark):
+    rows = [("p", "1", "cafe\u0301"), ("q", "2", "caf\u00e9"), ("q", "3", "ne\u0301"), ("p", "4", "a\x01b"), ("p", "5", "ab"), ("p", "6", "\u212b"), ("q", "7", None)]
+    df = spark.createDataFrame(rows, "field_name string, id string, text string")
+    canonical = {r.id: (r.canonical, r.changed) for r in lookalike.canonical_texts(df).collect()}
+    assert canonical == {"1": ("caf\u00e9", True), "2": ("caf\u00e9", False), "3": ("n\u00e9", True), "4": ("a\x01b", False), "5": ("ab", False), "6": ("\u00c5", True), "7": (None, False)}
+    assert lookalike.look_alike_pairs(df).count() == 0
+
+
 def test_canonical_form_of_punctuation():
     cases = {"-13 a-b 3,4 x, y 1-2 'q' (5)": "-13ab3,4xy1-2q5", "a -3": "a-3", "- 3": "3", "3 , 4": "34", "133–140": "133–140", "3.": "3", "x-3": "x3", "“A” b C!": "abc", "": "", " . ": "", "５，６": "5,6"}
     for t, want in cases.items():
