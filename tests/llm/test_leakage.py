@@ -21,12 +21,11 @@ def _data(seed):
 
 
 @pytest.mark.parametrize("block", [4_000_000, 150])
-def test_spans_match_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(leakage, "BLOCK_CHARS", block)
+def test_spans_match_brute_force(spark, block):
     docs, items = _data(3)
     d = spark.createDataFrame(docs, "doc_id bigint, text string").selectExpr("*", "'x' AS item_id")
     e = spark.createDataFrame(items, "item_id bigint, text string").selectExpr("*", "1 AS doc_id")
-    spans = leakage.leaked_spans(d, e).collect()
+    spans = leakage.leaked_spans(d, e, block_chars=block, held_bytes=500).collect()
     texts, want, runs = dict(docs), set(), set()
     for doc, t in set(docs):
         w = words(t or "")
@@ -53,3 +52,12 @@ def test_nothing_to_find(spark):
     d, e = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
     assert leakage.leaks(d, e.limit(0)).count() == 0 and leakage.leaks(d.limit(0), e).count() == 0
     assert leakage.leaks(d, e.where("item_id >= 98")).count() == 0
+
+
+def test_a_later_query_has_its_own_automaton(spark):
+    """Blocks of equal place and size in one worker after another: the automaton belongs to its broadcast."""
+    for i in range(4):
+        text = " ".join(f"w{i}x{k}" for k in range(14))
+        d = spark.createDataFrame([(i, text)], "doc_id bigint, text string")
+        e = spark.createDataFrame([(7, text)], "item_id bigint, text string")
+        assert [tuple(r) for r in leakage.leaks(d, e).collect()] == [(7, i)]

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -20,8 +21,10 @@ from pyspark.sql import DataFrame
 from weftline.llm.textform import words, words_with_offsets
 
 MIN_WORDS = 12
-#: Characters of items in one automaton. More items are scanned for in further passes, so the broadcast has this bound.
+#: Characters of items in one automaton. More items make further blocks, each with a broadcast and an automaton of this bound.
 BLOCK_CHARS = 4_000_000
+#: Arrow bytes of documents that a task holds while it goes from automaton to automaton.
+HELD_BYTES = 64_000_000
 _OTHER = "\x01\x01"
 
 
@@ -68,30 +71,53 @@ class Passages:
         return sorted((item, *run) for item, run in out)
 
 
-_CACHE: dict[int, Passages] = {}
+#: The automaton a worker built last, by the name its block got when it was broadcast.
+_LAST: dict[str, Passages] = {}
 
 
-def _passages(items: Broadcast, least: int) -> Passages:
-    key = (id(items.value), least)
-    if key not in _CACHE:
-        _CACHE.clear()
-        _CACHE[key] = Passages(items.value, least)
-    return _CACHE[key]
+def _passages(name: str, items: Broadcast, least: int) -> Passages:
+    if name not in _LAST:
+        _LAST.clear()  # one at a time: it is larger than its block
+        _LAST[name] = Passages(items.value, least)
+    return _LAST[name]
 
 
-def _scan(items: Broadcast, least: int):
+def _found(passages: Passages, b: pa.RecordBatch) -> pa.RecordBatch:
+    rows = []
+    for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+        found = passages.spans(text)
+        if not found:
+            continue
+        offsets = words_with_offsets(text)
+        rows += [(item, doc, start, n, place, offsets[start][1], offsets[start + n - 1][2]) for item, start, n, place in found]
+    columns = list(zip(*rows, strict=True)) or [[]] * 7
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 2 + [pa.int32()] * 5, strict=True)], names=["item_id", "doc_id", "first_word", "n_words", "item_word", "start", "end"])
+
+
+def _scan(blocks: list[tuple[str, Broadcast]], least: int, held_bytes: int = HELD_BYTES):
+    """One pass over the documents. With several blocks a stretch of documents is held and read by one automaton after the other."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passages = _passages(items, least)
+        held: list[pa.RecordBatch] = []
+        size = 0
+        forward = True
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            nonlocal forward
+            for name, items in blocks if forward else blocks[::-1]:  # the automaton at hand is used again
+                passages = _passages(name, items, least)
+                for b in held:
+                    yield _found(passages, b)
+            forward = not forward
+
         for b in batches:
-            rows = []
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                found = passages.spans(text)
-                if not found:
-                    continue
-                offsets = words_with_offsets(text)
-                rows += [(item, doc, start, n, place, offsets[start][1], offsets[start + n - 1][2]) for item, start, n, place in found]
-            columns = list(zip(*rows, strict=True)) or [[]] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 2 + [pa.int32()] * 5, strict=True)], names=["item_id", "doc_id", "first_word", "n_words", "item_word", "start", "end"])
+            held.append(b)
+            size += b.nbytes
+            if len(blocks) == 1 or size >= held_bytes:
+                yield from emit()
+                held, size = [], 0
+        if held:
+            yield from emit()
 
     return run
 
@@ -99,27 +125,35 @@ def _scan(items: Broadcast, least: int):
 SPANS = "item_id bigint, doc_id bigint, first_word int, n_words int, item_word int, start int, `end` int"
 
 
-def leaked_spans(documents: DataFrame, items: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+def _blocks(items: DataFrame, block_chars: int) -> list[tuple[str, Broadcast]]:
+    """The items in broadcasts of bounded size. They stream through the driver, which holds one block at a time."""
+    context = items.sparkSession.sparkContext
+    out: list[tuple[str, Broadcast]] = []
+    block: list[tuple[int, str]] = []
+    size = 0
+
+    def close() -> None:
+        out.append((uuid.uuid4().hex, context.broadcast(block)))
+
+    for item, text in items.select("item_id", "text").where("text is not null and item_id is not null").distinct().orderBy("item_id", "text").toLocalIterator():
+        if size + len(text) > block_chars and block:
+            close()
+            block, size = [], 0
+        block.append((item, text))
+        size += len(text)
+    close()
+    return out
+
+
+def leaked_spans(documents: DataFrame, items: DataFrame, least: int = MIN_WORDS, block_chars: int = BLOCK_CHARS, held_bytes: int = HELD_BYTES) -> DataFrame:
     """Maximal runs of at least ``least`` words that a document shares with an item, with their offsets in ``text``.
 
     Null and empty texts and items of fewer words hold no run; repeated rows of a document give the same rows once.
-    Letter case, punctuation, spacing and look-alike differences do not matter.
+    Letter case, punctuation, spacing and look-alike differences do not matter. Documents are read once, however many
+    blocks the items fill. An empty table gives no rows.
     """
-    spark = documents.sparkSession
-    blocks: list[list[tuple[int, str]]] = [[]]
-    size = 0
-    for item, text in items.select("item_id", "text").where("text is not null and item_id is not null").distinct().orderBy("item_id", "text").toLocalIterator():
-        if size + len(text) > BLOCK_CHARS and blocks[-1]:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((item, text))
-        size += len(text)
     rows = documents.select("doc_id", "text").where("text is not null and doc_id is not null")
-    parts = [rows.mapInArrow(_scan(spark.sparkContext.broadcast(block), least), SPANS) for block in blocks]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.distinct()
+    return rows.mapInArrow(_scan(_blocks(items, block_chars), least, held_bytes), SPANS).distinct()
 
 
 def leaks(documents: DataFrame, items: DataFrame, least: int = MIN_WORDS) -> DataFrame:
