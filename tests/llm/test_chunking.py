@@ -86,3 +86,14 @@ def test_counts_are_the_tokenizer_s():
         t = "".join(draw.choice("ab1 .,\n'sé½٣_ 　²漢é́😀\x1c‍") for _ in range(12))
         assert c.count(t) == len(c.encoding.encode_ordinary(t))
         assert _ODD.search(t) or _FAST.findall(t) == _SLOW.findall(t)
+
+
+def test_large_overlaps_are_kept_or_refused(spark):
+    text = " ".join(f"w{i}" for i in range(400))
+    df = spark.createDataFrame([(1, text), (2, "漢" * 300)], "doc_id bigint, text string")
+    rows = chunking.split_texts(df, spark.createDataFrame([("p", 16, 14)], LIMITS)).orderBy("doc_id", "piece_no").collect()
+    plain = [r for r in rows if r.doc_id == 1]
+    assert len(plain) > 50 and all(r.shared_tokens >= 14 for r in plain[1:]) and all(r.tokens <= 16 for r in plain)
+    assert all(r.shared_tokens >= 11 for r in rows if r.piece_no)  # a character of three tokens takes the rest
+    with pytest.raises(ValueError):
+        chunking.split_texts(df, spark.createDataFrame([("p", 16, 16)], LIMITS))

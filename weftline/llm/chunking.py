@@ -71,7 +71,8 @@ def cuts(tokens: np.ndarray, natural: np.ndarray, begin: np.ndarray, limit: int,
     end = np.where((stop > done) & (resume > here), stop, reach)
     end = np.where(reach == last, last, end)  # what is left fits in one piece
     resume = np.maximum(back(end), first)
-    resume = np.where((resume > here) & (reach[resume] > end), resume, end)  # no overlap where it would not get on
+    # the next piece has to get beyond ``end``: where the overlap leaves no room for a wide character it shares what it can
+    resume = np.maximum(np.maximum(resume, here + 1), np.searchsorted(reach, end + 1))
     succ = np.where(end == last, last, resume)
     known = firsts[firsts < ends]
     table = succ
@@ -140,10 +141,14 @@ def split_texts(documents: DataFrame, limits: DataFrame, vocabulary: str = VOCAB
 
     A piece begins at the last boundary that leaves at least ``overlap_tokens`` to the end of the piece before it. A word of
     more than half of ``max_tokens - overlap_tokens`` tokens has boundaries inside, between characters. Null and empty texts
-    have no pieces; ``include_short`` gives texts within the limit as one piece. ``limits`` is a few rows; those without a
-    positive limit are left out, and an overlap is at most the limit less three.
+    have no pieces; ``include_short`` gives texts within the limit as one piece. ``limits`` is a few rows; those with a null
+    limit are left out, a null or negative overlap is none. An overlap is kept between all pieces: a plan whose limit does not
+    exceed it by ``LEAST_ROOM`` is an error.
     """
-    plans = [(r.plan, r.max_tokens, min(max(r.overlap_tokens or 0, 0), max(0, r.max_tokens - 3))) for r in limits.where("max_tokens > 0").select("plan", "max_tokens", "overlap_tokens").distinct().orderBy("plan", "max_tokens", "overlap_tokens").collect()]
+    plans = [(r.plan, r.max_tokens, max(r.overlap_tokens or 0, 0)) for r in limits.where("max_tokens > 0").select("plan", "max_tokens", "overlap_tokens").distinct().orderBy("plan", "max_tokens", "overlap_tokens").collect()]
+    for plan, limit, overlap in plans:
+        if overlap >= limit:
+            raise ValueError(f"plan {plan}: an overlap of {overlap} tokens in pieces of at most {limit}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
