@@ -154,3 +154,29 @@ def test_repeats_are_used_last():
     assert flows[("a",), "a"] == 100 and flows.get((("a", "b"), "b"), 0) + flows.get((("b",), "b"), 0) == 100
     assert flows.get((("b",), "b"), 0) <= 10 and flows.get((("a", "b"), "b"), 0) <= 100
     assert json.dumps(mixing.reachable_total({("a",): 10}, {"a": (0.5, 2), "b": (0.5, 9)})) == "40"
+
+
+def test_best_fill():
+    draw = random.Random(2)
+    for _ in range(50):
+        sizes = [draw.randrange(1, 30) for _ in range(draw.randrange(0, 9))]
+        room = draw.randrange(0, 90)
+        got = mixing.best_fill(sizes, room)
+        best = max(t for k in range(len(sizes) + 1) for c in itertools.combinations(sizes, k) if (t := sum(c)) <= room)
+        assert len(set(got)) == len(got) and sum(sizes[i] for i in got) == best
+
+
+def test_long_texts_do_not_make_a_source_miss_its_share(spark):
+    draw = random.Random(4)
+    docs = [(i, " ".join(draw.choice(["alpha", "beta", "gamma"]) for _ in range(draw.choice([3, 20, 60, 3000]))), "a") for i in range(200)]
+    docs += [(500 + i, f"{i} " + "delta " * 30, "b") for i in range(20)]
+    docs += [(700 + i, "one text that a third of all rows have", "c") for i in range(110)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, source string")
+    targets = spark.createDataFrame([("a", 0.3, 1), ("b", 0.3, 1), ("c", 0.4, 2)], "source string, target_share double, max_repeats int")
+    chosen, report = mixing.mixture(df, targets)
+    by = {r.source: r for r in report.collect()}
+    for s in "abc":
+        assert 0.98 * by[s].quota_tokens <= by[s].tokens <= by[s].quota_tokens, by
+    assert by["c"].available_tokens == 110 * counter().count(docs[-1][1])
+    rows = chosen.collect()
+    assert all(r.repeats <= {"a": 1, "b": 1, "c": 2}[r.source] for r in rows) and len({r.doc_id for r in rows}) == len(rows)
