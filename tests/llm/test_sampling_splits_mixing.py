@@ -91,6 +91,7 @@ def test_families_that_belong_together(spark):
     got = [tuple(r) for r in splits.family_groups(df).collect()]
     assert len(got) == len(set(got)) and set(got) == want
     targets = spark.createDataFrame([("train", 700), ("dev", 150), ("test", 150)], "split_name string, target_permille int")
+    assert {tuple(r) for r in splits.kept_together(df, targets).collect()} == want
     assigned = {r.id: r.split for r in splits.assigned_records(df, targets).collect()}
     assert set(assigned) == {r[0] for r in rows}
     by = {}
@@ -116,6 +117,27 @@ def test_allocation_places_every_component(seed):
             assert abs(sum(k[0] * v[name] for k, v in out.items()) / total - share) < 0.02
 
 
+@pytest.mark.parametrize("large", [[], [900], [500, 400, 30], [2600]])
+def test_shares_hold_beside_large_components(large):
+    draw = random.Random(len(large))
+    bundles = [(n, draw.choice("abc"), 1) for n in large] + [(size, label, draw.randrange(1, 60)) for size in (1, 2, 3, 5, 8, 13) for label in "abc"]
+    merged = {}
+    for size, label, n in bundles:
+        merged[size, label] = merged.get((size, label), 0) + n
+    bundles = [(*k, n) for k, n in merged.items()]
+    shares = {"dev": 0.15, "test": 0.15, "train": 0.7}
+    out = splits.allocate(bundles, shares)
+    total = sum(s * n for s, _, n in bundles)
+    for name, share in shares.items():
+        got = sum(k[0] * v[name] for k, v in out.items())
+        assert abs(got - share * total) <= 2, (large, name)
+    if not large:
+        for label in "abc":
+            mass = sum(s * n for s, at, n in bundles if at == label)
+            for name, share in shares.items():
+                assert abs(sum(k[0] * v[name] for k, v in out.items() if k[1] == label) - share * mass) <= 8
+
+
 def test_flow_is_of_lowest_cost():
     flow = splits.Flow()
     edges = [flow.add(a, b, r, c) for a, b, r, c in (("s", "x", 4, 1), ("s", "y", 3, 2), ("x", "t", 2, 1), ("x", "y", 3, 1), ("y", "t", 5, 1))]

@@ -74,7 +74,7 @@ def _split_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
-    return splits.family_groups(_split_records(spark, sf))
+    return splits.kept_together(_split_records(spark, sf), table(spark, sf, "split_targets"))
 
 
 def p6_assigned(spark: SparkSession, sf: str) -> DataFrame:

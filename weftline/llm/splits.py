@@ -1,12 +1,14 @@
 """Splits that keep related records together (problem 6).
 
 Families are joined into components over the upstream items they share. Components of one size and label profile are
-interchangeable and form a bundle. A min-cost flow gives each split its share of every label's records, at the lowest
-deviation; the flow is rounded to whole components, and a bundle's members are assigned in the order of a seeded hash.
+interchangeable and form a bundle. A min-cost flow carries the records of the bundles to the splits at the lowest deviation
+from the quotas, the flow of each bundle is rounded to whole components, from the largest sizes down with what rounding
+shifted carried into the next flow, and a bundle's members are assigned in the order of a seeded hash.
 """
 
 from __future__ import annotations
 
+import math
 from collections import deque
 
 from pyspark.sql import Column, DataFrame
@@ -18,10 +20,8 @@ from weftline.plans.runtime import stage
 # Source ids that only say that none is known, in lower case.
 UNKNOWN_IDS = ["", "-", "--", "?", "n/a", "na", "nan", "nil", "none", "null", "tbd", "tba", "unk", "unknown", "not available", "unspecified"]
 SEED = 20260818
-#: Components of at least this share of all records are placed one by one; there are at most its inverse of them.
-LARGE_SHARE = 1 / 500
-#: Cost of a record over the quota of its split, and over that of its label in the split.
-SPLIT_COST, LABEL_COST = 10, 1
+#: Cost of a record over the quota of its split, over that of its label in the split, and over the split's share of its bundle.
+SPLIT_COST, LABEL_COST, BUNDLE_COST = 100, 10, 1
 
 
 def joined_name(column: Column) -> Column:
@@ -111,77 +111,85 @@ class Flow:
         return self.edges[edge ^ 1][1]
 
 
-def _allot(mass: dict[str, int], shares: dict[str, float], placed: dict[tuple, int]) -> tuple[dict[tuple, int], int]:
-    """Records of each label for each split beside those placed, and what the records over a quota cost.
+def bundle_flow(bundles: list[tuple[int, str, int]], later: dict[str, int], shares: dict[str, float], placed: dict[tuple[str, str], int]) -> dict[tuple[int, str, str], int]:
+    """Records that each bundle ``(size, label, count)`` sends to each split in the flow of lowest cost.
 
-    The quota of a split weighs more than that of a label in it.
+    ``later``: records of each label in bundles whose turn comes afterwards, which take part as one node a label;
+    ``placed``: records of each label that a split has already. Quotas are the shares of all of these.
     """
-    of_label = dict(mass)
+    of_label = dict(later)
+    for size, label, count in bundles:
+        of_label[label] = of_label.get(label, 0) + size * count
     for (label, _), n in placed.items():
         of_label[label] = of_label.get(label, 0) + n
     total = sum(of_label.values())
-    flow, edges, cost = Flow(), {}, 0
-    over = []
-    for label, n in mass.items():
-        flow.add("source", ("label", label), n, 0)
+    flow, edges = Flow(), {}
+    for label, n in later.items():
+        flow.add("source", ("later", label), n, 0)
+        for s in shares:
+            flow.add(("later", label), ("label", label, s), n, 0)
+    for size, label, count in bundles:
+        mass = size * count
+        flow.add("source", ("bundle", size, label), mass, 0)
+        for s, share in shares.items():
+            own = flow.add(("bundle", size, label), ("label", label, s), math.ceil(mass * share), 0)
+            edges[size, label, s] = own, flow.add(("bundle", size, label), ("label", label, s), mass, BUNDLE_COST)
     for s, share in shares.items():
-        room = round(total * share) - sum(n for (_, at), n in placed.items() if at == s)
-        cost += SPLIT_COST * max(0, -room)
-        flow.add(("split", s), "sink", max(0, room), 0)
-        over.append((flow.add(("split", s), "sink", total, SPLIT_COST), SPLIT_COST))
         for label, n in of_label.items():
-            room = round(n * share) - placed.get((label, s), 0)
-            cost += LABEL_COST * max(0, -room)
-            edges[label, s] = flow.add(("label", label), (label, s), n, 0)
-            flow.add((label, s), ("split", s), max(0, room), 0)
-            over.append((flow.add((label, s), ("split", s), total, LABEL_COST), LABEL_COST))
+            flow.add(("label", label, s), ("split", s), max(0, round(n * share) - placed.get((label, s), 0)), 0)
+            flow.add(("label", label, s), ("split", s), total, LABEL_COST)
+        flow.add(("split", s), "sink", max(0, round(total * share) - sum(n for (_, at), n in placed.items() if at == s)), 0)
+        flow.add(("split", s), "sink", total, SPLIT_COST)
     flow.run("source", "sink")
-    return {k: flow.through(e) for k, e in edges.items()}, cost + sum(flow.through(e) * c for e, c in over)
+    return {k: flow.through(own) + flow.through(over) for k, (own, over) in edges.items()}
 
 
 def allocate(bundles: list[tuple[int, str, int]], shares: dict[str, float]) -> dict[tuple[int, str], dict[str, int]]:
     """Whole components of each bundle ``(size, label, count)`` for each split.
 
-    Large ones are placed first, from the largest down: each goes to the split with which the flow of all that is not
-    placed yet costs least, of equal ones to that with most room. The last flow is that of the rest of each label, whose
-    bundles are handed out from the largest size down, each component to the split with most room left.
+    Bundles take their turn by powers of two of their size, the largest first: a flow over them and all that come later, then
+    each bundle's flow is rounded down to components; those left over go where the flow of the split, then that of the label,
+    is still owed most, and what a label is owed is added to the flow of its next bundle. The next turn's flow starts from
+    what has been placed, so a component larger than a quota is made up for by all that follow.
     """
-    total = sum(size * count for size, _, count in bundles)
     out = {(size, label): dict.fromkeys(shares, 0) for size, label, _ in bundles}
-    mass: dict[str, int] = {}
-    for size, label, count in bundles:
-        mass[label] = mass.get(label, 0) + size * count
-    least = max(2, total * LARGE_SHARE)
-    placed: dict[tuple, int] = {}
-    for size, label in sorted(((size, label) for size, label, count in bundles if size >= least for _ in range(count)), reverse=True):
-        mass[label] -= size
-        tried = []
-        for s in shares:
-            trial = placed | {(label, s): placed.get((label, s), 0) + size}
-            room = total * shares[s] - sum(n for (_, at), n in trial.items() if at == s)
-            tried.append((_allot(mass, shares, trial)[1], -room, s, trial))
-        *_, split, placed = min(tried, key=lambda x: x[:3])
-        out[size, label][split] += 1
-    rest = [b for b in bundles if b[0] < least]
-    flows, _ = _allot(mass, shares, placed)
-    for label in sorted(mass):
-        room = {s: flows[label, s] for s in shares}
-        for size, _, count in sorted((b for b in rest if b[1] == label), key=lambda b: -b[0]):
+    placed: dict[tuple[str, str], int] = {}
+    for level in sorted({size.bit_length() for size, _, _ in bundles}, reverse=True):
+        here = sorted((b for b in bundles if b[0].bit_length() == level), key=lambda b: (-b[0], b[1]))
+        later: dict[str, int] = {}
+        for size, label, count in bundles:
+            if size.bit_length() < level:
+                later[label] = later.get(label, 0) + size * count
+        flow = bundle_flow(here, later, shares, placed)
+        owed_label: dict[tuple[str, str], int] = {}
+        owed_split = dict.fromkeys(shares, 0)
+        for size, label, count in here:
+            want = {s: flow[size, label, s] + owed_label.get((label, s), 0) for s in shares}
             left = count
-            for s in shares:  # what surely fits at once, leaving the last few to the split with most room
-                n = min(left, max(0, room[s] // size - 1), round(count * flows[label, s] / max(1, mass[label])))
+            for s in shares:
+                owed_split[s] += flow[size, label, s]
+
+            def place(s: str, n: int) -> None:
+                nonlocal left
                 out[size, label][s] += n
-                room[s] -= n * size
+                want[s] -= n * size
+                owed_split[s] -= n * size
+                placed[label, s] = placed.get((label, s), 0) + n * size
                 left -= n
-            for _ in range(left):
-                s = max(room, key=lambda s: (room[s], s))
-                out[size, label][s] += 1
-                room[s] -= size
+
+            for s in sorted(shares, key=lambda s: (-want[s], s)):
+                place(s, max(0, min(left, want[s] // size)))
+            while left:
+                place(max(shares, key=lambda s: (SPLIT_COST * owed_split[s] + LABEL_COST * want[s], s)), 1)
+            owed_label.update({(label, s): n for s, n in want.items()})
     return out
 
 
 def assigned_families(records: DataFrame, targets: DataFrame, seed: int = SEED) -> DataFrame:
-    """``family, root, size, label, split`` of every family; records without a family are families of their own id.
+    """``family, root, linked, size, label, split`` of every family; records without a family are families of their own id.
+
+    ``linked`` says whether the family belongs with another one; the label of a component is the one most of its records have.
+    (Whole profiles of labels would make nearly every component a bundle of its own, too many to send to the driver.)
 
     Input columns ``id, label, family, origin, source_id``; targets ``split_name, target_permille``, a few rows. Distinct
     (size, label) pairs are at most about sqrt(2 x records x labels), as their sizes add up to no more than all records.
@@ -190,7 +198,7 @@ def assigned_families(records: DataFrame, targets: DataFrame, seed: int = SEED)
     people = stage(records.select("id", F.coalesce("label", F.lit("")).alias("label"), F.coalesce("family", F.concat(F.lit("record:"), F.col("id"))).alias("family"), F.col("family").alias("named"), "origin", "source_id"), "split-records")
     groups = stage(components(_links(people.select(F.col("named").alias("family"), "origin", "source_id"))), "split-groups")
     sizes = people.groupBy("family", "label").agg(F.countDistinct("id").alias("n"))
-    rooted = stage(sizes.join(groups, sizes["family"] == groups["node"], "left").select("family", "label", "n", F.coalesce("root", "family").alias("root")), "split-families")
+    rooted = stage(sizes.join(groups, sizes["family"] == groups["node"], "left").select("family", "label", "n", F.coalesce("root", "family").alias("root"), F.col("root").isNotNull().alias("linked")), "split-families")
     by_label = rooted.groupBy("root", "label").agg(F.sum("n").alias("n"))
     whole = stage(by_label.groupBy("root").agg(F.sum("n").alias("size"), F.max_by("label", F.struct("n", "label")).alias("label")).withColumn("draw", seeded(seed, "root")), "split-components")
     shares = {r.split_name: r.target_permille for r in targets.where("target_permille > 0 and split_name is not null").groupBy("split_name").agg(F.max("target_permille").alias("target_permille")).orderBy("split_name").collect()}
@@ -206,7 +214,12 @@ def assigned_families(records: DataFrame, targets: DataFrame, seed: int = SEED)
     spans_df = records.sparkSession.createDataFrame(spans, "size bigint, label string, split string, low bigint, high bigint")
     ranked = running(whole, ["size", "label"], "draw", ["root"], F.lit(1), "rank")
     chosen = ranked.join(spans_df, ["size", "label"], "left").where("split is null or (rank >= low and rank < high)").select("root", "size", "label", "split")
-    return rooted.select("family", "root").distinct().join(chosen, "root")
+    return rooted.select("family", "root", "linked").distinct().join(chosen, "root").select("family", "root", "linked", "size", "label", "split")
+
+
+def kept_together(records: DataFrame, targets: DataFrame, seed: int = SEED) -> DataFrame:
+    """``family_id, group_family`` of every family that the assignment kept with at least one other."""
+    return assigned_families(records, targets, seed).where("linked").select(F.col("family").alias("family_id"), F.col("root").alias("group_family"))
 
 
 def assigned_records(records: DataFrame, targets: DataFrame, seed: int = SEED) -> DataFrame:
