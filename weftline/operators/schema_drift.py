@@ -1,8 +1,9 @@
 """Schemas that drift between the files of a feed (problem 3).
 
-Each file's schema is the graph of its fields, their types and their nesting. Neighbouring files are matched by similarity
-flooding: scores start from names and spread over pairs of nodes whose neighbours match, until they settle. Consistent
-correspondences with equal values in the rows that both files deliver are renames; what is left came, went or changed type.
+Each file's schema is the graph of its fields, their types and their nesting. Neighbouring files whose schemas differ are
+matched by similarity flooding: scores start from names and spread over pairs of nodes whose neighbours match, until they
+settle. Consistent correspondences are taken from the highest score down, between fields of one name, or of two names with
+equal values in the rows that both files deliver. They say what was renamed or changed type; what has none came or went.
 Renames then carry every field back to the name it first had, and all rows are cast and united into one table.
 """
 
@@ -73,32 +74,48 @@ def row_key(record: dict, number: int | None) -> str:
     return f"row {number}"
 
 
-def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many values of which type each field of each file has in a batch."""
     for b in batches:
-        files, keys, names, kinds, counts, hashes = [], [], [], [], [], []
-        for number, file_id, payload in zip(b.column("row_no").to_pylist(), b.column("file_id").to_pylist(), b.column("payload").to_pylist(), strict=True):
+        seen: dict[tuple[int, str, str], int] = {}
+        for file_id, payload in zip(b.column("file_id").to_pylist(), b.column("payload").to_pylist(), strict=True):
             record = parse(payload)
             if record is None:
                 continue
-            key = row_key(record, number)
             for name, values in fields_of(record):
-                digest = int.from_bytes(hashlib.blake2b("\x00".join(map(_plain, values)).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
-                of_kind: dict[str, int] = {}
                 for v in values:
-                    of_kind[_kind(v)] = of_kind.get(_kind(v), 0) + 1
-                for kind, n in of_kind.items():
+                    at = file_id, name, _kind(v)
+                    seen[at] = seen.get(at, 0) + 1
+        columns = list(zip(*seen, strict=True)) or [[]] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), *(pa.array(c, pa.string()) for c in columns[1:]), pa.array(seen.values(), pa.int64())], names=["file_id", "field", "kind", "n"])
+
+
+def field_kinds(rows: DataFrame) -> DataFrame:
+    """``file_id, field, kind, n`` of every field in every payload that can be read."""
+    seen = rows.select("file_id", "payload").where("file_id is not null").mapInArrow(_count_kinds, "file_id bigint, field string, kind string, n bigint")
+    return seen.groupBy("file_id", "field", "kind").agg(F.sum("n").alias("n"))
+
+
+def _hash_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        files, keys, names, hashes = [], [], [], []
+        for number, file_id, payload, wanted in zip(*(b.column(c).to_pylist() for c in ("row_no", "file_id", "payload", "fields")), strict=True):
+            record = parse(payload)
+            if record is None:
+                continue
+            key = row_key(record, number)
+            for name, values in fields_of(record):
+                if name in wanted:
                     files.append(file_id)
                     keys.append(key)
                     names.append(name)
-                    kinds.append(kind)
-                    counts.append(n)
-                    hashes.append(digest)
-        yield pa.RecordBatch.from_arrays([pa.array(files, pa.int64()), pa.array(keys, pa.string()), pa.array(names, pa.string()), pa.array(kinds, pa.string()), pa.array(counts, pa.int64()), pa.array(hashes, pa.int64())], names=["file_id", "row_key", "field", "kind", "n", "value"])
+                    hashes.append(int.from_bytes(hashlib.blake2b("\x00".join(map(_plain, values)).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True))
+        yield pa.RecordBatch.from_arrays([pa.array(files, pa.int64()), pa.array(keys, pa.string()), pa.array(names, pa.string()), pa.array(hashes, pa.int64())], names=["file_id", "row_key", "field", "value"])
 
 
-def field_values(rows: DataFrame) -> DataFrame:
-    """``file_id, row_key, field, kind, n, value`` of every field in every payload that can be read."""
-    return rows.select("row_no", "file_id", "payload").where("file_id is not null").mapInArrow(_explode, "file_id bigint, row_key string, field string, kind string, n bigint, value bigint")
+def field_values(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``file_id, row_key, field, value`` (a hash) of the fields that ``wanted`` (``file_id, fields``) names for a file."""
+    return rows.select("row_no", "file_id", "payload").join(wanted, "file_id").mapInArrow(_hash_values, "file_id bigint, row_key string, field string, value bigint").distinct()
 
 
 def file_order(files: DataFrame) -> DataFrame:
@@ -177,24 +194,36 @@ def flood(before: dict[str, str], after: dict[str, str], rounds: int = 100, sett
     return {(a, b): float(score[i, j]) for i, a in enumerate(left) for j, b in enumerate(right) if a and b}
 
 
-def correspondences(before: dict[str, str], after: dict[str, str], equal: set[tuple[str, str]]) -> list[tuple[str, str]]:
-    """One-to-one renames: fields of one name stay, the others pair up from the highest score down, if their values agree."""
+def matches(before: dict[str, str], after: dict[str, str], equal: set[tuple[str, str]]) -> list[tuple[str, str]]:
+    """One-to-one pairs of fields from the highest score down: of one name, or one that goes and one that comes with equal values."""
     gone, come = before.keys() - after.keys(), after.keys() - before.keys()
-    score = flood(before, after)
-    ranked = sorted(((-score[a, b], a, b) for a, b in equal if a in gone and b in come))
-    out: list[tuple[str, str]] = []
+    ranked = sorted((-n, a, b) for (a, b), n in flood(before, after).items() if a == b or (a in gone and b in come and (a, b) in equal))
+    out: dict[str, str] = {}
     for _, a, b in ranked:
-        if all(a != x and b != y for x, y in out):
-            out.append((a, b))
-    return out
+        if a not in out and b not in out.values():
+            out[a] = b
+    return sorted(out.items())
+
+
+def correspondences(before: dict[str, str], after: dict[str, str], equal: set[tuple[str, str]]) -> list[tuple[str, str]]:
+    """The matches that are renames."""
+    return [(a, b) for a, b in matches(before, after, equal) if a != b]
+
+
+def step_changes(before: dict[str, str], after: dict[str, str], equal: set[tuple[str, str]]) -> list[tuple[str, str, str]]:
+    """``change, old_name, new_name`` between two schemas, as their correspondences tell."""
+    pairs = matches(before, after, equal)
+    out = [("renamed", a, b) for a, b in pairs if a != b] + [("retyped", a, b) for a, b in pairs if a == b and before[a] != after[b]]
+    out += [("removed", a, "") for a in sorted(before.keys() - {a for a, _ in pairs})]
+    return out + [("added", "", b) for b in sorted(after.keys() - {b for _, b in pairs})]
 
 
 def _match(group: pd.DataFrame) -> pd.DataFrame:
     rows = []
     for r in group.itertuples():
-        pairs = correspondences({f["field"]: f["kind"] for f in r.before}, {f["field"]: f["kind"] for f in r.after}, {(e["old"], e["new"]) for e in r.equal})
-        rows += [(r.file_id, a, b) for a, b in pairs]
-    return pd.DataFrame(rows, columns=["file_id", "old_name", "new_name"])
+        equal = {(e["old"], e["new"]) for e in r.equal} if r.equal is not None else set()
+        rows += [(r.feed, r.file_id, *c) for c in step_changes({f["field"]: f["kind"] for f in r.before}, {f["field"]: f["kind"] for f in r.after}, equal)]
+    return pd.DataFrame(rows, columns=["feed", "file_id", "change", "old_name", "new_name"])
 
 
 class Drift:
@@ -208,45 +237,33 @@ class Drift:
     def __init__(self, files: DataFrame, rows: DataFrame) -> None:
         self.rows = rows
         self.order = stage(file_order(files), "drift-order")
-        self.values = stage(field_values(rows), "drift-values")
-        kinds = self.values.groupBy("file_id", "field", "kind").agg(F.sum("n").alias("n"))
-        self.schemas = stage(kinds.groupBy("file_id", "field").agg(F.max_by("kind", F.struct("n", "kind")).alias("kind")), "drift-schemas")
-        self._changes()
-
-    def _changes(self) -> None:
+        self.kinds = stage(field_kinds(rows), "drift-kinds")
+        self.schemas = self.kinds.groupBy("file_id", "field").agg(F.max_by("kind", F.struct("n", "kind")).alias("kind"))
+        self.changes = stage(self._changes(), "drift-changes")
+        self.renames = self.changes.where("change = 'renamed'").select("file_id", "old_name", "new_name")
+
+    def _changes(self) -> DataFrame:
+        whole = self.schemas.groupBy("file_id").agg(F.array_sort(F.collect_list(F.struct("field", "kind"))).alias("schema"))
+        none = F.array().cast("array<struct<field:string,kind:string>>")
         steps = self.order.where("previous is not null").select("feed", "file_id", "previous")
-        before = steps.join(self.schemas.withColumnRenamed("file_id", "previous"), "previous").select("feed", "file_id", "field", F.col("kind").alias("old_kind"))
-        after = steps.join(self.schemas, "file_id").select("feed", "file_id", "field", F.col("kind").alias("new_kind"))
-        both = stage(before.join(after, ["feed", "file_id", "field"], "full"), "drift-steps")
-        gone, come = both.where("new_kind is null").select("file_id", "field"), both.where("old_kind is null").select("file_id", "field")
-        self.renames = stage(self._renames(steps, both, gone, come), "drift-renames")
-        # of one change the field that comes counts under the file where it first shows, as does the one that goes
-        left = gone.join(self.renames.select("file_id", F.col("old_name").alias("field")), ["file_id", "field"], "left_anti")
-        new = come.join(self.renames.select("file_id", F.col("new_name").alias("field")), ["file_id", "field"], "left_anti")
-        feeds = steps.select("feed", "file_id")
-        parts = [
-            new.select("file_id", F.lit("added").alias("change"), F.lit("").alias("old_name"), F.col("field").alias("new_name")),
-            left.select("file_id", F.lit("removed").alias("change"), F.col("field").alias("old_name"), F.lit("").alias("new_name")),
-            self.renames.select("file_id", F.lit("renamed").alias("change"), "old_name", "new_name"),
-            both.where("old_kind <> new_kind").select("file_id", F.lit("retyped").alias("change"), F.col("field").alias("old_name"), F.col("field").alias("new_name")),
-        ]
-        union = parts[0]
-        for p in parts[1:]:
-            union = union.unionByName(p)
-        self.changes = union.join(feeds, "file_id").select("feed", "file_id", "change", "old_name", "new_name")
-
-    def _renames(self, steps: DataFrame, both: DataFrame, gone: DataFrame, come: DataFrame) -> DataFrame:
-        """Flooding for the steps in which fields both go and come; candidates are pairs whose values agree in shared rows."""
-        busy = gone.select("file_id").distinct().join(come.select("file_id").distinct(), "file_id", "left_semi")
-        old = self.values.withColumnRenamed("file_id", "previous").join(steps.join(busy, "file_id", "left_semi").select("previous", "file_id"), "previous").join(gone, ["file_id", "field"], "left_semi").select("file_id", "row_key", F.col("field").alias("old"), "value").distinct()
-        new = self.values.join(busy, "file_id", "left_semi").join(come, ["file_id", "field"], "left_semi").select("file_id", "row_key", F.col("field").alias("new"), F.col("value").alias("new_value")).distinct()
-        shared = old.join(new, ["file_id", "row_key"]).groupBy("file_id", "row_key", "old", "new").agg(F.max(F.col("value") == F.col("new_value")).alias("same"))
+        paired = steps.join(whole.withColumnRenamed("schema", "after"), "file_id", "left").join(whole.select(F.col("file_id").alias("previous"), F.col("schema").alias("before")), "previous", "left")
+        paired = paired.withColumns({"before": F.coalesce("before", none), "after": F.coalesce("after", none)}).where(F.col("before") != F.col("after"))
+        changed = stage(paired.withColumns({"gone": F.array_except("before.field", "after.field"), "come": F.array_except("after.field", "before.field")}), "drift-steps")
+        return changed.join(self._equal(changed.where(F.size("gone") * F.size("come") > 0)), "file_id", "left").select("feed", "file_id", "before", "after", "equal").mapInPandas(lambda parts: map(_match, parts), "feed string, file_id bigint, change string, old_name string, new_name string")
+
+    def _equal(self, busy: DataFrame) -> DataFrame:
+        """``file_id, equal``: pairs of a field that goes and one that comes whose values agree in most rows both files deliver.
+
+        Only rows of the files of such steps are read again, and only those fields of them.
+        """
+        asked = busy.select(F.col("previous").alias("file_id"), F.col("gone").alias("fields")).unionByName(busy.select("file_id", F.col("come").alias("fields")))
+        wanted = asked.groupBy("file_id").agg(F.array_distinct(F.flatten(F.collect_list("fields"))).alias("fields"))
+        values = stage(field_values(self.rows, wanted), "drift-values")
+        of = lambda file, fields, name, value: values.join(busy.select(F.col(file).alias("of_file"), F.col("file_id").alias("step"), fields), F.col("file_id") == F.col("of_file")).where(F.array_contains(fields, F.col("field"))).select("step", "row_key", F.col("field").alias(name), F.col("value").alias(value))
+        shared = of("previous", "gone", "old", "old_value").join(of("file_id", "come", "new", "new_value"), ["step", "row_key"]).groupBy("step", "row_key", "old", "new").agg(F.max(F.col("old_value") == F.col("new_value")).alias("same"))
         # a stray value of another type may differ; a field that merely resembles another differs throughout
-        equal = shared.groupBy("file_id", "old", "new").agg(F.count_if("same").alias("n_same"), F.count("*").alias("n")).where("2 * n_same > n")
-        candidates = equal.groupBy("file_id").agg(F.collect_list(F.struct("old", "new")).alias("equal"))
-        listed = lambda kind, name: both.where(F.col(kind).isNotNull()).groupBy("file_id").agg(F.collect_list(F.struct("field", F.col(kind).alias("kind"))).alias(name))
-        graphs = candidates.join(listed("old_kind", "before"), "file_id").join(listed("new_kind", "after"), "file_id")
-        return graphs.select("file_id", "before", "after", "equal").mapInPandas(lambda parts: map(_match, parts), "file_id bigint, old_name string, new_name string")
+        equal = shared.groupBy("step", "old", "new").agg(F.count_if("same").alias("n_same"), F.count("*").alias("n")).where("2 * n_same > n")
+        return equal.groupBy(F.col("step").alias("file_id")).agg(F.collect_list(F.struct("old", "new")).alias("equal"))
 
     def names(self) -> DataFrame:
         """``feed, file_id, field, column``: the name each file's field has in the united table, the first it had in its feed.
@@ -288,7 +305,7 @@ class Drift:
         as text in ``rest``. Arrays and objects are JSON text. Nested fields stay in their arrays, under their first names.
         """
         names = stage(self.names(), "drift-names")
-        counted = self.values.where(~F.contains("field", F.lit("."))).groupBy("file_id", "field", "kind").agg(F.sum("n").alias("n")).join(names, ["file_id", "field"])
+        counted = self.kinds.where(~F.contains("field", F.lit("."))).join(names, ["file_id", "field"])
         columns = counted.groupBy("column", "kind").agg(F.sum("n").alias("n")).groupBy("column").agg(F.max_by("kind", F.struct("n", "kind")).alias("kind"), F.sum("n").alias("n"))
         chosen = sorted((r.column, r.kind) for r in columns.orderBy(F.desc("n"), "column").limit(MOST_COLUMNS).collect())
         per_file = names.groupBy("file_id").agg(F.first("feed").alias("feed"), F.map_from_entries(F.collect_list(F.struct("field", "column"))).alias("names"))
