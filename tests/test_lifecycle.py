@@ -5,15 +5,19 @@ from weftline.operators import lifecycle
 
 
 def test_derived_oracles(spark):
-    unit = "array<struct<start int, end int, surface string, category string, canonical string, accepted array<string>>>"
-    rows = [("no_change", "same", None, []), ("gold", "a 5", "a five", []), ("multi_valid", "a 5", "a five", [(2, 3, "5", "n", "five", ["V"])]), ("ambiguous", "a 5", None, [])]
-    df = spark.createDataFrame(rows, f"s string, t string, e string, u {unit}").select(lifecycle.derived_oracle(F.col("s"), F.col("t"), F.col("e"), F.col("u")).alias("o"))
-    assert [(r.o.canonical_output, list(r.o.accepted_outputs)) for r in df.collect()] == [("same", ["same"]), ("a five", ["a five"]), ("a five", ["a five", "a V"]), (None, [])]
+    unit = "array<struct<start int, end int, surface string, category string, semantic string, canonical string, accepted array<string>>>"
+    two = '{"candidates": [{"day": 3, "month": 4, "year": 2020}, {"day": 4, "month": 3, "year": 2020}]}'
+    rows = [("no_change", "same", None, []), ("gold", "a 5", "a five", []), ("multi_valid", "a 5", "a five", [(2, 3, "5", "n", None, "five", ["V", " ", "FIVE"])]), ("gold", "a 5", "x", [(2, 3, "5", "n", None, None, None)]), ("ambiguous", "a 3/4", None, [(2, 5, "3/4", "date", two, None, None)]), ("quarantine", "a", None, [])]
+    df = spark.createDataFrame(rows, f"s string, t string, e string, u {unit}").select(lifecycle.derived_oracle(F.col("s"), F.col("t"), F.col("e"), F.col("u"), F.lit("en")).alias("o"))
+    got = [r.o for r in df.collect()]
+    assert [o and (o.canonical_output, list(o.accepted_outputs)) for o in got] == [("same", ["same"]), ("a five", ["a five"]), ("a five", ["a FIVE", "a V", "a five"]), ("x", ["a 5", "x"]), (None, []), None]
+    assert [(i.label, list(i.accepted_outputs)) for i in got[4].interpretations] == [("interpretation_1", ["April 3, 2020"]), ("interpretation_2", ["March 4, 2020"])] and got[1].interpretations is None
 
 
 def test_spoken_dates(spark):
-    df = spark.createDataFrame([("en",), ("de",), ("es",), ("fr",)], "l string").select(lifecycle.spoken_date(F.col("l"), F.lit(2023), F.lit(3), F.lit(5)).alias("d"))
-    assert [r.d for r in df.collect()] == ["March 5, 2023", "5. März 2023", "5 de marzo de 2023", "2023-03-05"]
+    df = spark.createDataFrame([("en",), ("de",), ("es",), ("fr",)], "l string").select(lifecycle.spoken_date(F.col("l"), F.lit(2023), F.lit(3), F.lit(5)).alias("d"), lifecycle.spoken_date(F.col("l"), F.lit(2023), F.lit(13), F.lit(5)).alias("odd"))
+    rows = df.collect()
+    assert [r.d for r in rows] == ["March 5, 2023", "Tag 5, Monat 3, Jahr 2023", "día 5, mes 3, año 2023", "March 5, 2023"] and rows[0].odd == "month 13 5, 2023"
 
 
 def test_overlays_round_trip(spark):

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from weftline.operators import census, constraints, counts, discovery, duplicates, ranking, scoring, snapshots, splitting
+from weftline.operators import audit, census, constraints, counts, discovery, duplicates, ranking, scoring, snapshots, splitting
 
 POOL = "id string, benchmark string, input string, upstream_expected string, expected_output string"
 
@@ -18,9 +18,13 @@ def test_duplicates_and_overlap(spark):
     assert {(r.source_a, r.source_b): r.n_inputs for r in duplicates.source_overlap(df).collect()} == {("s1", "s2"): 1, ("s1", "s3"): 1, ("s2", "s3"): 1}
     assert [r.n for r in duplicates.pair_groups(df).collect()] == [2]
     assert duplicates.conflicting_outputs(df).count() == 1
-    assert tuple(duplicates.summary(df).first()) == (6, 3, 2, 1)
+    assert tuple(duplicates.summary(df).first()) == (6, 3, 2, 1, 5)
+    assert {(r.id, r.benchmark) for r in duplicates.input_members(df).collect()} == {("a", "s1"), ("b", "s2"), ("c", "s3"), ("d", "s1"), ("e", "s1")}
+    assert {r.id for r in duplicates.conflicting_members(df).collect()} == {"a", "b", "c"}
+    spaced = spark.createDataFrame([("a", "s", "t", "Out A", None), ("b", "s", "T", "out  a", None), ("c", "s", "t", " ", "x")], POOL)
+    assert duplicates.conflicting_outputs(spaced).count() == 0 and [r.n_outputs for r in duplicates.input_groups(spaced).collect()] == [1]
     empty = df.limit(0)
-    assert duplicates.input_groups(empty).count() == 0 and tuple(duplicates.summary(empty).first()) == (0, 0, 0, 0)
+    assert duplicates.input_groups(empty).count() == 0 and tuple(duplicates.summary(empty).first()) == (0, 0, 0, 0, 0)
 
 
 def test_results_do_not_depend_on_order_or_partitions(spark):
@@ -38,6 +42,7 @@ def test_conflicts(spark):
     unit = "array<struct<category string, surface string, canonical string>>"
     df = spark.createDataFrame([("a", "en-US", [("fraction", "3/4", "three quarters")]), ("b", "en-US", [("fraction", "3/4", "three over four"), ("fraction", "3/4", " Three Quarters ")]), ("c", None, None)], f"id string, locale string, units {unit}")
     assert [(r.surface, r.n, r.n_values) for r in duplicates.unit_conflicts(df).collect()] == [("3/4", 3, 2)]
+    assert {(r.id, r.value) for r in duplicates.unit_conflict_items(df).collect()} == {("a", "three quarters"), ("b", "three over four"), ("b", "three quarters")}
     rec = spark.createDataFrame([("a", "en", "x", "1"), ("b", "en", "x", " 1"), ("c", "en", "y", "1"), ("d", "en", "y", None), ("e", "en", "z", "1"), ("f", "en", "z", "2")], "id string, locale string, input string, expected_output string")
     assert [r.input for r in duplicates.record_conflicts(rec).collect()] == ["z"]
 
@@ -52,6 +57,13 @@ def test_contradictions_match_all_pairs(spark):
     assert got == want
 
 
+def test_disagreements_of_reviewed_records(spark):
+    rows = [("a", "gold", "en", "One  x", "p", "Out", ["Out", "v"], ["w"]), ("b", "multi_valid", "en", "one x", "p", "ｏut", ["W"], None), ("c", "quarantine", "en", "one x", "p", "else", ["w"], ["v"]), ("d", "gold", "en", "one X", "p", "third", None, ["V"]), ("e", "gold", None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "id string, status string, locale string, input string, policy_version string, canonical string, accepted array<string>, rejected array<string>")
+    assert [(r.n, r.n_outputs, r.min_id) for r in duplicates.canonical_disagreements(df).collect()] == [(3, 2, "a")]
+    assert {(r.id_l, r.id_r) for r in duplicates.contradictions(df).collect()} == {("a", "b"), ("a", "d")}
+
+
 def test_statistics_and_null_keys(spark):
     df = spark.createDataFrame([("a", "gold", "en", "en-US", "s", "train", "f"), ("b", "gold", None, None, None, None, ""), ("c", "no_change", "en", "en-US", "s", "train", "f")], "id string, status string, language string, locale string, benchmark string, split string, family_id string")
     got = {(r.section, r.key): (r.records, r.families) for r in counts.statistics(df).collect()}
@@ -68,6 +80,9 @@ def test_coverage_and_gaps(spark):
     assert got == {"date": (2, 1, 1, 2, 1), "time": (1, 1, 1, 0, 0)}
     least = spark.createDataFrame([("date", 3, 1, 1), ("music", 1, 0, 0), (None, 1, 1, 0)], "category string, min_units int, min_ambiguous int, min_negatives int")
     gaps = {(r.category, r.gap, r.detail) for r in counts.coverage_gaps(df, least, ["en", "de"]).collect()}
+    required = spark.createDataFrame([("date", "iso"), ("time", "p"), ("never", "q")], "category string, pattern string")
+    more = {(r.category, r.gap, r.detail) for r in counts.coverage_gaps(df, least, ["en", "de"], required).collect()}
+    assert more - gaps == {("date", "surface_pattern", "iso"), ("time", "surface_pattern", "p")} and gaps <= more
     assert gaps == {("date", "low_volume", ""), ("date", "language", "de"), ("time", "ambiguous", ""), ("time", "language", "en"), ("music", "low_volume", ""), ("music", "language", "en"), ("music", "language", "de")}
 
 
@@ -84,6 +99,11 @@ def test_discovery(spark):
     records = spark.createDataFrame([("r", [("1.1.1.1",)] * 3 + [("5%",)])], "id string, units array<struct<surface string>>")
     got = {r.token: (r.shape, r.n, r.first_key, r.first_nth, r.reason) for r in discovery.rare_tokens(texts, records, "k").collect()}
     assert got == {"XJ-900/2B.": ("mixed_alnum", 2, 1, 1, "unseen_shape"), "50%": ("percent", 2, 1, 0, "rare_shape")}
+    odd = spark.createDataFrame([(1, " \u2003a 3:45\u00a0uhr\x1f7/8😀 b\n4/5 ")], "k int, text string")
+    text = odd.first().text
+    places = {r.token: (r.nth, r.start, r.end) for r in discovery.placed_tokens(odd, "k").collect()}
+    assert places == {t: (n, text.index(t), text.index(t) + len(t)) for n, t in enumerate(text.split()) if t in ("3:45", "4/5", "7/8😀")}
+    assert sorted(r.token for r in discovery.tokens(odd, "k").collect()) == ["3:45", "4/5", "7/8😀"]
 
 
 def test_census_clusters_and_families(spark):
@@ -91,13 +111,20 @@ def test_census_clusters_and_families(spark):
     rows = [("a", "en", "en-US", "s", "1:de", "On 5", None, [(3, 4, "n", None)]), ("b", "en", "en-US", "s", "1:en", "on  5", "x", []), ("c", "en", "en-US", "t", "7", "On 6", None, [(3, 4, "n", None)]), ("d", "en", "en-US", "t", None, "On 7", None, [(3, 4, "n", None)]), ("e", "en", "en-US", "t", "9", None, None, [])]
     df = spark.createDataFrame(rows, f"id string, language string, locale string, benchmark string, source_id string, input string, upstream_expected string, units {unit}").withColumn("expected_output", F.lit(None).cast("string"))
     clusters = {r.min_id: (r.records, r.refs, r.outputs) for r in census.clusters(df).collect()}
-    assert clusters == {"a": (2, 2, 1), "c": (1, 1, 0), "d": (1, 1, 0)}
+    assert clusters == {"a": (2, 2, 1), "c": (1, 1, 0), "d": (1, 1, 0), "e": (1, 1, 0)}
+    assert {r.id for r in census.cluster_members(df).collect()} == set("abcde")
     blind = census.blind_batch(df)
-    assert {"upstream_expected", "expected_output", "units"}.isdisjoint(blind.columns) and blind.count() == 3
+    assert {"upstream_expected", "expected_output", "units"}.isdisjoint(blind.columns) and blind.count() == 4 and census.blind_refs(df).count() == 5
     groups = census.numbered(census.families(df)).orderBy("number").collect()
-    assert [(r.number, r.n, r.min_id) for r in groups] == [(1, 2, "a"), (2, 2, "c")]
+    assert [(r.number, r.n, r.min_id) for r in groups] == [(1, 2, "a"), (2, 2, "c"), (3, 1, "e")]
+    assert census.family_members(df).count() == 5
     lost = spark.createDataFrame([("t", "8", "en", "bad")], "source string, source_id string, language string, reason string")
-    assert {(r.benchmark, r.state): r.n for r in census.ledger_summary(df, lost).collect()} == {("s", "candidate"): 2, ("t", "candidate"): 2, ("t", "metadata_only"): 1, ("t", "explicit_exclusion"): 1}
+    assert {(r.benchmark, r.state): r.n for r in census.ledger_summary(df, lost).collect()} == {("s", "candidate"): 2, ("t", "candidate"): 3, ("t", "explicit_exclusion"): 1}
+    total = census.summary(df, lost).first()
+    assert (total.rows_observed, total.rows_parsed, total.rows_excluded, total.sentence_clusters, total.row_accounting_ok) == (6, 5, 1, 4, True)
+    assert not census.summary(df, lost, spark.createDataFrame([(9,)], "source_rows bigint")).first().row_accounting_ok
+    marked = df.withColumn("mapping_status", F.when(F.col("id") == "a", "unsupported"))
+    assert census.summary(marked, lost.limit(0)).first().rows_metadata_only == 1
 
 
 def test_splits(spark):
@@ -179,12 +206,13 @@ def test_candidates_have_all_reasons(spark):
 
 def test_adjudication_counts_each_gap_category(spark):
     unit = "array<struct<category string, surface string, canonical string>>"
-    df = spark.createDataFrame([("a", "spokenform_regression", None, "gold", [("date", "1", "x"), ("date", "2", "x"), ("k", "3", "x"), ("ok", "3", "x")]), ("b", "s", "en", "quarantine", [(None, "5", "x")]), ("c", None, None, None, None)], f"id string, benchmark string, locale string, status string, units {unit}")
+    df = spark.createDataFrame([("a", "live", None, "gold", [("date", "1", "x"), ("date", "2", "x"), ("k", "3", "x"), ("ok", "3", "x")]), ("b", "s", "en", "quarantine", [(None, "5", "x")]), ("c", None, None, None, None)], f"id string, benchmark string, locale string, status string, units {unit}")
     conflicts = spark.createDataFrame([("en", None, "5")], "locale string, category string, surface string")
     gaps = spark.createDataFrame([("date",), ("date",), ("k",)], "category string")
-    got = {r.id: (r.priority, r.reasons) for r in ranking.adjudication(df, conflicts, gaps).collect()}
+    live = spark.createDataFrame([("live",), ("live",), (None,)], "benchmark string")
+    got = {r.id: (r.priority, r.reasons) for r in ranking.adjudication(df, conflicts, gaps, live).collect()}
     assert got == {"a": (90, "coverage_gap:date,coverage_gap:k,production_regression,semantic_risk"), "b": (45, "quarantine_review,source_disagreement"), "c": (0, "")}
-    assert ranking.adjudication(df, conflicts, gaps.limit(0)).where("id = 'a'").first().priority == 60
+    assert ranking.adjudication(df, conflicts, gaps.limit(0), live).where("id = 'a'").first().priority == 60
 
 
 def test_priorities(spark):
@@ -201,27 +229,91 @@ def test_differences_between_snapshots(spark):
     assert snapshots.duplicate_ids(snapshots.merged(old, new)).count() == 5
 
 
-RECORD = "id string, schema_version string, taxonomy_version string, policy_version string, family_id string, status string, split string, expected_output string, input string, negative_for array<string>, units array<struct<surface string, start int, end int, category string, semantic string, canonical string, accepted array<string>, rejected array<string>>>, oracle struct<canonical_output string, accepted_outputs array<string>, rejected_outputs array<struct<output string, reason string>>>"
+UNIT = "struct<surface string, start int, end int, category string, semantic string, canonical string, accepted array<string>, rejected array<string>>"
+ORACLE = "struct<canonical_output string, accepted_outputs array<string>, rejected_outputs array<struct<output string, reason string>>, variant_mode string, comparison_profile string, interpretations array<struct<label string, semantic string, accepted_outputs array<string>>>>"
+RECORD = f"id string, schema_version string, taxonomy_version string, policy_version string, family_id string, status string, split string, expected_output string, input string, negative_for array<string>, units array<{UNIT}>, oracle {ORACLE}"
+NAMES = ("id", "sv", "tv", "pv", "fam", "status", "split", "out", "input", "neg", "units", "oracle")
+OK = ("1", "1", "1", "1", "f", "gold", "train", "a five", "a 5", [], [("5", 2, 3, "fraction", '{"numerator": 1, "denominator": 2}', "five", ["FIVE "], [])], ("a five", ["a  Five"], [], "explicit", "sentence-exact-v1", None))
+
+
+def _change(**k):
+    return tuple(k.get(n, v) for n, v in zip(NAMES, OK, strict=True))
+
+
+def _unit(**k):
+    return [tuple(k.get(n, v) for n, v in zip(("surface", "start", "end", "category", "semantic", "canonical", "accepted", "rejected"), OK[10][0], strict=True))]
+
+
+def _oracle(**k):
+    return tuple(k.get(n, v) for n, v in zip(("canonical", "accepted", "rejected", "mode", "profile", "readings"), OK[11], strict=True))
 
 
 def test_each_rule_is_found(spark):
-    ok = ("1", "1", "1", "1", "f", "gold", "train", "o", "a 5", [], [("5", 2, 3, "fraction", '{"numerator": 1, "denominator": 2}', "five", ["five"], [])], ("o", ["o"], []))
-    change = lambda **k: tuple(k.get(n, v) for n, v in zip(("id", "sv", "tv", "pv", "fam", "status", "split", "out", "input", "neg", "units", "oracle"), ok, strict=True))
-    unit = lambda **k: [tuple(k.get(n, v) for n, v in zip(("surface", "start", "end", "category", "semantic", "canonical", "accepted", "rejected"), ok[10][0], strict=True))]
+    same = {"status": "no_change", "out": "a 5", "units": [], "neg": ["d"]}
+    readings = [("one", '{"day": 1, "month": 2}', ["x"]), ("two", '{"month": 2, "day": 1}', ["y"])]
+    open_ = {"status": "ambiguous", "out": None, "units": _unit(canonical=None)}
     cases = {
-        "missing_schema_version": change(sv=" "), "unknown_status": change(status="x"), "unknown_split": change(split=None), "output_missing": change(out=None), "output_not_allowed": change(status="quarantine"),
-        "negative_control_with_units": change(status="no_change", neg=["d"]), "accepted_repeated": change(oracle=("o", ["o", "o"], [])), "accepted_and_rejected": change(oracle=("o", ["o"], [("o", "r")])), "canonical_not_accepted": change(oracle=("p", ["o"], None)),
-        "span_not_surface": change(units=unit(start=0, end=1)), "invalid_semantic": change(units=unit(semantic='{"numerator": 1, "denominator": 0}')),
+        "missing_schema_version": _change(sv=" "), "unknown_status": _change(status="x"), "unknown_split": _change(split=None), "output_not_allowed": _change(**open_ | {"out": "o", "oracle": _oracle(canonical=None, accepted=[], readings=[*readings, ("three", '{"day": 2}', ["z"])])}),
+        "negative_control_with_units": _change(**same | {"units": OK[10], "oracle": _oracle(canonical="a 5", accepted=["a 5"])}), "negative_control_of_nothing": _change(**same | {"neg": [], "oracle": _oracle(canonical="a 5", accepted=["a 5"])}), "unchanged_output_differs": _change(**same | {"out": "b", "oracle": _oracle(canonical="a 5", accepted=["a 5"])}),
+        "unchanged_canonical_differs": _change(**same | {"oracle": _oracle(canonical="b", accepted=["a 5"])}), "unchanged_accepted_differs": _change(**same | {"oracle": _oracle(canonical="a 5", accepted=["a 5", "b"])}),
+        "oracle_missing": _change(oracle=None), "accepted_repeated": _change(oracle=_oracle(accepted=["a five", "A  five"])), "accepted_and_rejected": _change(oracle=_oracle(rejected=[("ａ five", "r")])), "canonical_not_accepted": _change(oracle=_oracle(accepted=["b"])), "variants_not_explicit": _change(oracle=_oracle(mode="all")), "unknown_profile": _change(oracle=_oracle(profile="other")),
+        "output_not_canonical": _change(out="a  five"), "reconstruction_differs": _change(units=_unit(canonical="V", accepted=["V"])), "ambiguous_accepted": _change(**open_ | {"oracle": _oracle(canonical=None, accepted=["x"], readings=[readings[0], ("q", "{}", ["y"])])}),
+        "too_few_interpretations": _change(**open_ | {"oracle": _oracle(canonical=None, accepted=[], readings=readings)}), "interpretation_without_output": _change(**open_ | {"oracle": _oracle(canonical=None, accepted=[], readings=[readings[0], ("q", "{}", [])])}),
+        "span_not_surface": _change(units=_unit(start=1, end=3)), "invalid_semantic": _change(units=_unit(semantic="{}")),
     }
-    df = spark.createDataFrame([ok, *[(f"{k}", *v[1:4], f"f-{k}", *v[5:]) for k, v in cases.items()]], RECORD)
-    broken = {(r.record_id, r.rule) for r in constraints.violations(df).collect()}
-    assert broken == {(k, k) for k in cases}
-    twice = spark.createDataFrame([ok, change(split="test")], RECORD)
+    also = {"output_not_canonical": set(), "span_not_surface": {"reconstruction_differs"}, "unknown_split": set()}
+    df = spark.createDataFrame([OK, *[(k, *v[1:4], f"f-{k}", *v[5:]) for k, v in cases.items()]], RECORD)
+    broken = {}
+    for r in constraints.violations(df).collect():
+        broken.setdefault(r.record_id, set()).add(r.rule)
+    assert broken == {k: {k} | also.get(k, set()) for k in cases}
+    units = {"canonical_missing": _unit(canonical=" "), "canonical_not_accepted": _unit(accepted=["six"]), "accepted_and_rejected": _unit(rejected=["ＦＩＶＥ"]), "surface_missing": _unit(surface="", start=None, end=None)}
+    broken = {(r.record_id, r.rule) for r in constraints.unit_violations(spark.createDataFrame([(k, *_change(units=u)[1:]) for k, u in units.items()], RECORD)).collect()}
+    assert broken == {(k, k) for k in units}
+    twice = spark.createDataFrame([OK, _change(split="test")], RECORD)
     assert {r.rule for r in constraints.violations(twice).collect()} == {"duplicate_id", "family_in_several_splits"}
     assert constraints.violations(df.limit(0)).count() == 0
     assert [r.detail for r in constraints.forbidden_keys(spark.createDataFrame([("a", '{"x": [{"oracle": 1}]}'), ("b", '{"oracles": 1}')], "id string, j string"), "j", ["oracle"]).collect()] == ["oracle"]
 
 
+def test_imported_units_and_ambiguity_families(spark):
+    schema = "id string, status string, benchmark string, input string, units array<struct<surface string, start int, end int, category string, semantic string, canonical string, accepted array<string>, rejected array<string>, features string, source_category string, mapping_status string>>"
+    unit = lambda source, mapping, family=None: [("5", None, None, "n", None, None, None, None, json.dumps({"ambiguity_family": family}), source, mapping)]
+    df = spark.createDataFrame([("a", "quarantine", "s", "5", unit("N", "exact")), ("b", "quarantine", "s", None, unit(None, "odd", "f")), ("c", "quarantine", "own", "5", unit(None, None, "g")), ("d", None, None, None, None)], schema)
+    assert {(r.record_id, r.rule) for r in constraints.unit_violations(df, curated=("own",)).collect()} == {("b", "source_category_missing"), ("b", "unknown_mapping")}
+    families = spark.createDataFrame([("g", "other"), ("g", "more"), ("h", "n")], "family string, category string")
+    assert {(r.record_id, r.rule) for r in constraints.ambiguity_violations(df, families).collect()} == {("b", "unknown_ambiguity_family"), ("c", "ambiguity_family_of_other_category")}
+
+
+def test_oracle_hash_and_audit(spark):
+    import hashlib
+
+    schema = f"{RECORD}, language string, locale string, oracle_hash string, review struct<protocol_version string, status string, reviewers array<string>, adjudicator string>"
+    done, open_ = ("1", "adjudicated", ["x", "y"], "z"), ("1", "adjudicated", ["x", "x"], "z")
+    rows = [("a", *OK[1:], "en", None, None, done), ("b", *_change(input='quote " \\ \n é 😀', fam="g")[1:], "en", "l", "sha256:0", open_), ("c", *_change(status="quarantine", out=None, units=None, oracle=None, fam="h")[1:], None, None, None, None)]
+    df = spark.createDataFrame(rows, schema)
+    for r in audit.with_hash(df).collect():
+        x = r.asDict(recursive=True)
+        units = [{**u, "semantic": json.loads(u["semantic"])} for u in x["units"] or []]
+        body = {**{k: x[k] for k in ("language", "locale", "input", "status", "policy_version", "taxonomy_version")}, "units": units, "oracle": x["oracle"] or {}, "comparison_profile": "sentence-exact-v1"}
+        assert r.assertion_hash == "sha256:" + hashlib.sha256(json.dumps(body, ensure_ascii=False, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+    plain, strict = ({(r.record_id, r.rule) for r in audit.audit(df, strict=s).collect()} for s in (False, True))
+    assert ("b", "oracle_hash_differs") in plain and plain <= strict
+    assert {(i, rule) for i, rule in strict - plain} == {("a", "oracle_hash_missing_or_wrong"), ("b", "oracle_hash_missing_or_wrong"), ("b", "review_incomplete"), ("c", "quarantined")}
+    assert {(r.record_id, r.rule) for r in audit.not_for_release(df).collect()} == {("c", "forbidden_status")}
+    assert audit.audit(df.limit(0), strict=True).count() == 0
+
+
+def test_policies_and_registry(spark):
+    manifest = spark.createDataFrame([("a", "importer_only", "allowed"), ("b", None, "not_redistributable"), ("c", "odd", "allowed"), ("d", None, None)], "benchmark string, materialization_policy string, redistribution_status string")
+    df = spark.createDataFrame([(f"{b}{m or ''}", (b,), m) for b in "abcdz" for m in ("external_ref", None)], "id string, source struct<benchmark string>, materialization string")
+    got = {(r.record_id, r.rule) for r in audit.materialization_violations(df, manifest).collect()}
+    assert got == {("a", "embeds_against_policy"), ("aexternal_ref", "refers_against_policy"), ("b", "embeds_against_policy"), ("d", "embeds_against_policy"), ("dexternal_ref", "refers_against_policy")}
+    rows = spark.createDataFrame([("1", "f", "train"), ("2", "g", "dev"), ("3", None, "train"), ("4", "h", None)], "id string, family_id string, split string")
+    registry = spark.createDataFrame([("f", "train"), ("g", "challenge"), ("h", "test")], "family_id string, split string")
+    assert {(r.record_id, r.rule) for r in audit.registry_violations(rows, registry).collect()} == {("2", "registered_split_unknown"), ("2", "split_differs_from_registry"), ("3", "family_not_registered"), ("4", "split_differs_from_registry")}
+
+
 @pytest.mark.parametrize("f", [duplicates.unit_conflicts, counts.coverage])
 def test_null_units(spark, f):
     df = spark.createDataFrame([("a", None, None, None, None, None)], "id string, locale string, language string, status string, negative_for array<string>, units array<struct<category string, surface string, canonical string, features string>>")

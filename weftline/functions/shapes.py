@@ -51,6 +51,7 @@ SURFACE_PATTERNS = {
     "url_or_email": [("url", "surface", r"(?i)^https?://\S+$"), ("email", "surface", r"^[\w.+-]+@[\w.-]+\.[A-Za-z]{2,}$")],
     "acronym": [("plural_acronym", "surface", "^[A-Z]{2,}s$"), ("initialism", "surface", "^[A-Z]{2,}$"), ("word_like_acronym", "surface", "^[A-Za-z]{2,}$")],
 }
+# Words of a sentence that speaks of a fraction.
 FRACTION_WORDS = "fraction|numerator|denominator|quarter|half"
 
 # Categories recognised in free text, in order, with their patterns.
@@ -73,6 +74,40 @@ RECOGNIZERS = [
     ("cardinal", r"\b\d+\b"),
 ]
 
+# Month names in running text, short and whole.
+MONTH_NAMES = r"(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|Jun(?:e)?|Jul(?:y)?|Aug(?:ust)?|Sep(?:t(?:ember)?)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)"
+
+# Patterns that find the span of a category in a sentence.
+SPAN_PATTERNS = {
+    "abbreviation": [r"\b[A-Za-z]{1,6}\."],
+    "acronym": [r"\b[A-Z]{2,}(?:s)?\b"],
+    "address": [r"\b\d+\s+[A-Z][A-Za-z]+(?:\s+[A-Z][A-Za-z]+)*\b"],
+    "biology": [r"\b[A-Z][a-z]+\s+[a-z]{2,}\b"],
+    "cardinal": [r"\b\d+\b"],
+    "chemical": [r"\b(?:[A-Z][a-z]?\d*)+\b"],
+    "coordinates": [r"\b-?\d{1,3}\.\d+\s*,\s*-?\d{1,3}\.\d+\b", r"\b\d{1,3}°\s*\d{1,2}'?\s*\d{1,2}(?:\.\d+)?\"?\s*[NSEW]\b"],
+    "currency": [r"(?:[$€£¥]\s?\d[\d,]*(?:\.\d+)?|\b\d[\d,]*(?:\.\d+)?\s?(?:USD|EUR|GBP|JPY)\b)"],
+    "date": [r"\b\d{4}-\d{2}-\d{2}\b", r"\b\d{1,2}/\d{1,2}/\d{2,4}\b", rf"\b{MONTH_NAMES}\s+\d{{1,2}},?\s+\d{{4}}\b"],
+    "decimal": [r"\b-?\d[\d,]*\.\d+\b"],
+    "fraction": [r"\b\d+/\d+\b"],
+    "identifier": [r"\b[A-Za-z]+[A-Za-z0-9-]*\d+[A-Za-z0-9-]*\b"],
+    "isbn": [r"\b97[89][-\d]{10,16}\b"],
+    "legal_citation": [r"\b(?:§|Art\.?|Rule)\s*\d+[A-Za-z0-9.-]*\b"],
+    "math_expression": [r"\b\d+\s*[-+/*^=]\s*\d+(?:\s*[-+/*^=]\s*\d+)*\b", r"\b[A-Za-z]\d+\b"],
+    "measurement_unit": [r"\b\d+(?:\.\d+)?\s?(?:kg|g|mg|lb|km|m|cm|mm|L|mL|°C|°F|%)\b"],
+    "music": [r"\b[A-G](?:#|b)?(?:maj|min|m|sus|dim|aug)?\b"],
+    "ordinal": [r"\b\d+(?:st|nd|rd|th)\b"],
+    "phone": [r"\b(?:\+\d{1,3}\s*)?(?:\d[\s-]?){7,}\d\b"],
+    "product_code": [r"\b[A-Z0-9]+(?:-[A-Z0-9]+)+\b"],
+    "roman_numeral": [r"\b[IVXLCDM]+\b"],
+    "score_or_range": [r"\b\d+\s*-\s*\d+\b"],
+    "serial_or_plate": [r"\b[A-Z0-9]{2,}(?:-[A-Z0-9]{2,})+\b"],
+    "ticker": [r"\b[A-Z]{1,5}(?:\.[A-Z])?\b"],
+    "time": [r"\b\d{1,2}:\d{2}(?:\s?[AP]M)?\b"],
+    "url_or_email": [r"\bhttps?://\S+\b", r"\b[\w.+-]+@[\w.-]+\.[A-Za-z]{2,}\b"],
+    "version": [r"\bv?\d+(?:\.\d+)+(?:-[A-Za-z0-9.]+)?\b"],
+}
+
 
 def stripped_token(token: Column) -> Column:
     return F.trim(token, F.lit(TOKEN_EDGES))

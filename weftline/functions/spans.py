@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from weftline.functions.shapes import RECOGNIZERS
-from weftline.functions.text import casefold, collapse, exact_key
+from weftline.functions.shapes import RECOGNIZERS, SPAN_PATTERNS
+from weftline.functions.text import casefold, collapse
 
 
 def _part(text: Column, start: Column, end: Column) -> Column:
@@ -47,20 +47,27 @@ def skeleton(text: Column, units: Column) -> Column:
 
 
 def options(unit: Column) -> Column:
-    """Distinct outputs of a unit: the canonical one, then the accepted ones, one of each that compare as equal."""
-    every = F.filter(F.concat(F.array(unit["canonical"]), F.coalesce(unit["accepted"], F.array().cast("array<string>"))), lambda o: o.isNotNull())
+    """Distinct outputs of a unit: the accepted ones, then the canonical one, one of each that compare as equal; its surface if it has none."""
+    every = F.filter(F.concat(F.coalesce(unit["accepted"], F.array().cast("array<string>")), F.array(unit["canonical"])), lambda o: o.isNotNull() & (collapse(o) != ""))
     keep = lambda o, i: F.forall(F.slice(every, 1, i), lambda e: casefold(collapse(e)) != casefold(collapse(o)))
-    return F.filter(every, keep)
+    return F.when(F.size(every) == 0, F.array(F.coalesce(unit["surface"], F.lit("")))).otherwise(F.filter(every, keep))
 
 
-def variants(text: Column, units: Column) -> Column:
-    """All outputs that one option of each unit gives. Grows as the product of the options, as the definition does."""
+def variants(text: Column, units: Column, expected: Column | None = None) -> Column:
+    """All outputs that one option of each unit gives, and ``expected``, which alone counts where there are no units.
+
+    Grows as the product of the options, as the definition does. Units outside the text are left out.
+    """
     begin = F.array(F.struct(F.lit("").alias("out"), F.lit(0).alias("at")))
 
     def step(acc: Column, u: Column) -> Column:
         return F.flatten(F.transform(acc, lambda p: F.transform(options(u), lambda o: F.struct(F.concat(p["out"], _part(text, p["at"], u["start"]), o).alias("out"), u["end"].cast("int").alias("at")))))
 
-    return F.aggregate(valid_units(text, units), begin, step, lambda acc: F.array_distinct(F.transform(acc, lambda p: F.concat(p["out"], F.substring(text, p["at"] + 1, F.length(text))))))
+    spliced = F.aggregate(valid_units(text, units), begin, step, lambda acc: F.transform(acc, lambda p: F.concat(p["out"], F.substring(text, p["at"] + 1, F.length(text)))))
+    if expected is None:
+        return F.array_distinct(spliced)
+    own = F.filter(F.array(expected), lambda e: e.isNotNull())
+    return F.when(F.coalesce(F.size(units), F.lit(0)) < 1, own).otherwise(F.array_distinct(F.concat(spliced, own)))
 
 
 def occurrences(text: Column, surface: Column) -> Column:
@@ -86,14 +93,33 @@ def token_start(text: Column, surface: Column) -> Column:
     return F.when((n > 0) & (F.size(fits) == 1), fits[0] - 1)
 
 
+def _matches(text: Column, pattern: str) -> Column:
+    """``start, end, surface`` of each match, in code points: the places follow from what lies between the matches."""
+    regexp = F.lit(f"(?U){pattern}")
+    surfaces, between = F.regexp_extract_all(text, regexp, F.lit(0)), F.split(text, f"(?U){pattern}", -1)
+    start = lambda i: F.length(F.array_join(F.slice(between, F.lit(1), i + 1), "")) + F.length(F.array_join(F.slice(surfaces, F.lit(1), i), ""))
+    return F.transform(surfaces, lambda s, i: F.struct(start(i).alias("start"), (start(i) + F.length(s)).alias("end"), s.alias("surface")))
+
+
+def all_recognised(text: Column) -> Column:
+    """Spans of all recognizers, overlapping ones too: ``start, end, surface, category, rule``."""
+    of = lambda rule, category, pattern: F.transform(_matches(text, pattern), lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["surface"].alias("surface"), F.lit(category).alias("category"), F.lit(rule).alias("rule")))
+    return F.concat(*[of(k, c, p) for k, (c, p) in enumerate(RECOGNIZERS)])
+
+
 def recognised(text: Column) -> Column:
-    """Spans of all recognizers: ``category, rule, surface, nth``, in the order of the rules."""
-    def of(rule: int, category: str, pattern: str) -> Column:
-        surfaces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-        return F.transform(surfaces, lambda s, i: F.struct(F.lit(category).alias("category"), F.lit(rule).alias("rule"), s.alias("surface"), i.alias("nth")))
+    """Recognised spans that do not overlap: from left to right, of those that start together the longest, then the first rule's."""
+    return longest_first(all_recognised(text))
+
 
-    found = [of(k, c, p) for k, (c, p) in enumerate(RECOGNIZERS)]
-    return F.concat(*found)
+def category_span(text: Column, category: Column) -> Column:
+    """The only span ``start, end, surface`` that the patterns of a category find in the text; null if there is none or several."""
+    out = None
+    for name, patterns in SPAN_PATTERNS.items():
+        found = F.array_distinct(F.concat(*[_matches(text, p) for p in patterns]))
+        one = F.when(F.size(found) == 1, found[0])
+        out = F.when(category == name, one) if out is None else out.when(category == name, one)
+    return out
 
 
 def longest_first(spans: Column) -> Column:
@@ -101,7 +127,3 @@ def longest_first(spans: Column) -> Column:
     ordered = F.array_sort(spans, lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).when(a["end"] != b["end"], b["end"] - a["end"]).otherwise(a["rule"] - b["rule"]))
     empty = F.filter(spans, lambda s: F.lit(False))
     return F.aggregate(ordered, empty, lambda acc, s: F.when(F.exists(acc, lambda t: (s["end"] > t["start"]) & (s["start"] < t["end"])), acc).otherwise(F.concat(acc, F.array(s))))
-
-
-def same_sentence(a: Column, b: Column) -> Column:
-    return exact_key(a) == exact_key(b)

@@ -12,32 +12,42 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.spans import variants
+from weftline.plans.runtime import stage
 
 # Month names for dates that are read out.
-MONTHS = {
-    "en": "January February March April May June July August September October November December".split(),
-    "de": "Januar Februar März April Mai Juni Juli August September Oktober November Dezember".split(),
-    "es": "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre".split(),
-}
+MONTHS = "January February March April May June July August September October November December".split()
 PROFILE = "sentence-exact-v1"
-
-
-def derived_oracle(status: Column, text: Column, expected: Column, units: Column) -> Column:
-    """Explicit oracle of a record without one: unchanged input, every variant of its units, or none where it is open."""
-    canonical = F.when(status == "no_change", text).when(~status.isin("ambiguous", "quarantine"), expected)
-    listed = F.when(status == "multi_valid", F.array_distinct(F.concat(F.array(canonical), variants(text, units)))).when(canonical.isNotNull(), F.array(canonical)).otherwise(F.array().cast("array<string>"))
-    return F.struct(canonical.alias("canonical_output"), listed.alias("accepted_outputs"), F.lit("explicit").alias("variant_mode"), F.lit(PROFILE).alias("comparison_profile"))
+DATE = "struct<year:int,month:int,day:int>"
 
 
 def spoken_date(language: Column, year: Column, month: Column, day: Column) -> Column:
-    """A date with its month's name in the order of the language; ISO form for other languages."""
-    name = None
-    for lang, names in MONTHS.items():
-        value = F.array(*map(F.lit, names))[month - 1]
-        name = F.when(language == lang, value) if name is None else name.when(language == lang, value)
+    """A date as it is read out: its parts by name in German and Spanish, else the month's name, the day and the year."""
     text = lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
-    y, d = year.cast("string"), day.cast("string")
-    return F.when(language == "en", text(name, " ", d, ", ", y)).when(language == "de", text(d, ". ", name, " ", y)).when(language == "es", text(d, " de ", name, " de ", y)).otherwise(F.format_string("%04d-%02d-%02d", year, month, day))
+    y, m, d = (c.cast("string") for c in (year, month, day))
+    name = F.coalesce(F.get(F.array(*map(F.lit, MONTHS)), month - 1), text("month ", m))
+    return F.when(language == "de", text("Tag ", d, ", Monat ", m, ", Jahr ", y)).when(language == "es", text("día ", d, ", mes ", m, ", año ", y)).otherwise(text(name, " ", d, ", ", y))
+
+
+def interpretations(language: Column, units: Column) -> Column:
+    """Readings of an ambiguous record: ``label, semantic, accepted_outputs`` of each candidate of its first unit."""
+    semantic = F.get(units, F.lit(0))["semantic"]
+    candidates = F.from_json(F.get_json_object(semantic, "$.candidates"), f"array<{DATE}>")
+    read = F.transform(candidates, lambda c, i: F.struct(F.concat(F.lit("interpretation_"), i + 1).alias("label"), F.to_json(c).alias("semantic"), F.array(spoken_date(F.coalesce(language, F.lit("en")), c["year"], c["month"], c["day"])).alias("accepted_outputs")))
+    return F.coalesce(read, F.array().cast("array<struct<label:string,semantic:string,accepted_outputs:array<string>>>"))
+
+
+def derived_oracle(status: Column, text: Column, expected: Column, units: Column, language: Column | None = None) -> Column:
+    """Explicit oracle of a record that has none: unchanged input, the sorted variants of its units, or its readings if ambiguous.
+
+    Null for a record with no expected output that is neither unchanged nor ambiguous.
+    """
+    none = F.array().cast("array<string>")
+    canonical = F.when(status == "no_change", text).when(status != "ambiguous", expected)
+    listed = F.when(status == "no_change", F.array(text)).when(status == "ambiguous", none).otherwise(F.array_sort(variants(text, units, expected)))
+    readings = interpretations(language if language is not None else F.lit("en"), units) if language is not None else F.array().cast("array<struct<label:string,semantic:string,accepted_outputs:array<string>>>")
+    read = F.when(status == "ambiguous", readings)
+    made = F.struct(canonical.alias("canonical_output"), listed.alias("accepted_outputs"), none.alias("rejected_outputs"), F.lit("explicit").alias("variant_mode"), F.lit(PROFILE).alias("comparison_profile"), read.alias("interpretations"))
+    return F.when(status.isin("no_change", "ambiguous") | expected.isNotNull(), made)
 
 
 PAYLOAD = ("expected_output", "units", "negative_for", "notes")
@@ -141,9 +151,10 @@ def selected(records: DataFrame, split: str | None = None, language: str | None
 def positional_cut(rows: DataFrame, order: list[str], share: float = 0.6) -> DataFrame:
     """``upstream_train`` for the first share of the rows in order, ``upstream_test`` for the others.
 
-    Rows are counted range by range and numbered within each, so no task orders all of them.
+    Rows are counted range by range and numbered within each, so no task orders all of them. The ranges are a table of their
+    own, as rows must not move between them when an executor is lost.
     """
-    parts = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).cache()
+    parts = stage(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "cut-ranges")
     sizes = parts.groupBy("_part").agg(F.count("*").alias("_n"))
     before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"), F.sum("_n").over(Window.partitionBy()).alias("_all"))
     nth = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) + F.col("_before")

@@ -7,7 +7,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.functions.text import fingerprint
 from weftline.operators import counts, duplicates
 
 #: All reasons of a candidate's priority (W2).
@@ -36,12 +35,11 @@ def _in_conflict(records: DataFrame, conflicts: DataFrame) -> DataFrame:
 
 def _shared(records: DataFrame) -> DataFrame:
     """Per id, whether its input is in several sources, its pair of input and output is there twice, its input is, and its output is one of several."""
-    output = fingerprint(F.col("output"))
-    rows = duplicates.fingerprinted(records).select("id", "benchmark", F.unhex(F.md5("fp")).alias("fp"), F.when(output == "", "").otherwise(F.md5(output)).alias("output"))
-    inputs = rows.groupBy("fp").agg(F.count("*").alias("n"), F.countDistinct("benchmark").alias("n_sources"), F.countDistinct(F.nullif("output", F.lit(""))).alias("n_outputs")).where("n >= 2")
-    pairs = rows.groupBy("fp", "output").agg(F.count("*").alias("n_pair"))
-    flags = {"cross_source_duplicate": "n_sources > 1", "exact_pair": "n_pair >= 2", "duplicate_input": "n >= 2", "conflicting_output": "n_outputs > 1 and output <> ''"}
-    return rows.join(inputs, "fp").join(pairs, ["fp", "output"]).groupBy("id").agg(*[F.max(F.expr(e)).alias(k) for k, e in flags.items()])
+    rows = duplicates.fingerprinted(records).withColumn("said", F.coalesce("output", F.unhex(F.lit(""))))
+    pairs = rows.groupBy("fp", "said").agg(F.count("*").alias("n_pair"))
+    inputs = rows.groupBy("fp").agg(F.count("*").alias("n"), F.size(F.collect_set("benchmark")).alias("n_sources"), F.countDistinct("output").alias("n_outputs")).where("n >= 2")
+    flags = {"cross_source_duplicate": "n_sources > 1", "exact_pair": "n_pair >= 2", "duplicate_input": "n >= 2", "conflicting_output": "n_outputs > 1 and output is not null"}
+    return rows.join(inputs, "fp").join(pairs, ["fp", "said"]).groupBy("id").agg(*[F.max(F.expr(e)).alias(k) for k, e in flags.items()])
 
 
 def candidate_flags(candidates: DataFrame, reviewed: DataFrame, least: DataFrame, required: DataFrame) -> DataFrame:
@@ -81,14 +79,18 @@ def candidate_flags(candidates: DataFrame, reviewed: DataFrame, least: DataFrame
     return joined.select("id", "language", "family_id", "categories", *[F.coalesce(flags.get(k, F.col(k)), F.lit(False)).alias(k) for k in REASONS])
 
 
-def adjudication(records: DataFrame, conflicts: DataFrame, gaps: DataFrame) -> DataFrame:
-    """``id, priority, reasons`` of the adjudication queue (W1); each category of a record that has a gap adds 15."""
+def adjudication(records: DataFrame, conflicts: DataFrame, gaps: DataFrame, regressions: DataFrame) -> DataFrame:
+    """``id, priority, reasons`` of the adjudication queue (W1); each category of a record that has a gap adds 15.
+
+    ``regressions``: the ``benchmark`` names of records that come from failures in production, a few rows.
+    """
     hit = _in_conflict(records, conflicts).withColumn("source_disagreement", F.lit(True))
     short = gaps.select("category").distinct().agg(F.collect_set("category").alias("_short"))
-    rows = records.join(hit, "id", "left").join(F.broadcast(short), F.lit(True), "left")
+    failed = regressions.select("benchmark").distinct().withColumn("_failed", F.lit(True))
+    rows = records.join(hit, "id", "left").join(failed, "benchmark", "left").join(F.broadcast(short), F.lit(True), "left")
     own = F.coalesce(F.array_intersect("units.category", "_short"), F.array().cast("array<string>"))
     flags = rows.select(
-        "id", own.alias("_gaps"), (F.col("benchmark") == "spokenform_regression").alias("production_regression"), F.coalesce("source_disagreement", F.lit(False)).alias("source_disagreement"),
+        "id", own.alias("_gaps"), F.coalesce("_failed", F.lit(False)).alias("production_regression"), F.coalesce("source_disagreement", F.lit(False)).alias("source_disagreement"),
         F.coalesce(F.arrays_overlap("units.category", F.array(*map(F.lit, RISKY))), F.lit(False)).alias("semantic_risk"), (F.col("status") == "quarantine").alias("quarantine_review"),
     )
     ranked = prioritised(flags, {"production_regression": 50, "source_disagreement": 40, "semantic_risk": 10, "quarantine_review": 5})

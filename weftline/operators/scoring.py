@@ -5,34 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.functions.text import exact_key, exact_keys
+from weftline.functions.spans import variants
+from weftline.functions.text import exact_keys
 from weftline.operators.counts import by_each
 
 SCORABLE = ("gold", "multi_valid", "policy_choice", "no_change")
 
 
-def last_predictions(predictions: DataFrame, order: str) -> DataFrame:
-    """One prediction per id, the last in the given order."""
-    return predictions.groupBy("id").agg(F.max_by("output", order).alias("output"))
-
-
 def evaluated(records: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Match flags of each scorable record; a missing prediction counts as empty, which matches a null canonical output.
+    """Match flags of each scorable record; a missing prediction counts as empty, which matches an empty canonical output.
 
-    Records: ``id, language, locale, status, split, input, canonical, accepted, n_units``. Every accepted output is listed;
-    combinations of unit variants that nobody listed are not accepted.
+    Records: ``id, language, locale, status, split, input, canonical, accepted, n_units`` and, if there are, ``units,
+    expected_output, has_oracle``. A record without an oracle has its expected output as the canonical one and the product
+    of its units' options as accepted ones; where an oracle lists outputs, nothing that nobody listed is accepted. A record
+    given again counts once. All texts of a record take their comparison form in one pass of Python.
     """
+    columns = set(records.columns)
+    has = F.col("has_oracle") if "has_oracle" in columns else F.lit(True)
+    expected = F.col("expected_output") if "expected_output" in columns else F.lit(None).cast("string")
+    target = F.when(has, F.col("canonical")).otherwise(expected)
+    derived = variants(F.col("input"), F.col("units"), expected) if "units" in columns else F.array().cast("array<string>")
+    listed = F.when(has & F.col("accepted").isNotNull(), F.col("accepted")).otherwise(derived if "units" in columns else F.coalesce("accepted", derived))
     kept = records.where(F.col("status").isin(list(SCORABLE)) & F.coalesce(F.col("split") != "candidate", F.lit(True)))
-    joined = kept.join(predictions.select("id", "output", F.lit(True).alias("present")), "id", "left")
-    output = exact_key(F.col("output"))
-    canonical = output == exact_key(F.col("canonical"))
-    listed = F.exists(F.coalesce("accepted_keys", F.array().cast("array<string>")), lambda k: k == F.col("output_key"))
-    keyed = joined.withColumn("output_key", output).withColumn("canonical_match", canonical).withColumn("accepted_keys", exact_keys(F.col("accepted")))
+    narrow = kept.select("id", "language", "locale", "status", "categories", "n_units", target.alias("target"), F.coalesce(listed, F.array().cast("array<string>")).alias("listed"))
+    joined = narrow.join(predictions.select("id", "output", F.lit(True).alias("present")), "id", "left")
+    keyed = joined.withColumn("keys", exact_keys(F.concat(F.array("output", "target"), "listed")))
+    output, canonical = F.get("keys", F.lit(0)), F.get("keys", F.lit(0)) == F.get("keys", F.lit(1))
+    accepted = canonical | F.array_contains(F.expr("slice(keys, 3, size(keys))"), output)
     return keyed.select(
-        "id", "language", "locale", "status", "categories",
-        F.col("present").isNull().alias("missing"), "canonical_match", (F.col("canonical_match") | listed).alias("accepted_match"),
-        F.greatest(F.col("n_units"), (F.col("status") == "no_change").cast("int")).alias("weight"),
-        ((F.col("status") == "no_change") & (F.col("output_key") != exact_key(F.col("input")))).alias("mutated"),
+        "id", "language", "locale", "status", "categories", F.col("present").isNull().alias("missing"), canonical.alias("canonical_match"), accepted.alias("accepted_match"),
+        F.greatest(F.col("n_units"), (F.col("status") == "no_change").cast("int")).alias("weight"), ((F.col("status") == "no_change") & ~canonical).alias("mutated"),
     )
 
 
@@ -60,16 +62,19 @@ def score_categories(evaluations: DataFrame) -> DataFrame:
 
 
 def calibration(records: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Confusion of accept and reject with precision, recall and false rates, by language, category and overall.
+    """Confusion of accept and reject with precision, recall and false rates, by language, category, ambiguity family and overall.
 
-    Records: ``id, language, category, human_label``; predictions: ``id, label``. Ids on one side only are left out here and
-    listed by ``unmatched``.
+    Records: ``id, language, category, human_label`` and, if there is, ``ambiguity_family``, where none counts as ``none``;
+    predictions: ``id, label``. Ids on one side only are an error in the command and listed by ``unmatched``; they are left out here.
     """
     both = records.join(predictions, "id")
     human, judge = F.col("human_label") == "accept", F.col("label") == "accept"
     ta, fa, tr, fr = F.count_if(human & judge), F.count_if(~human & judge), F.count_if(~human & ~judge), F.count_if(human & ~judge)
+    keys = {k: F.col(k) for k in ("language", "category")}
+    if "ambiguity_family" in records.columns:
+        keys["ambiguity_family"] = F.coalesce("ambiguity_family", F.lit("none"))
     return by_each(
-        both, {k: F.col(k) for k in ("language", "category")}, ta.alias("true_accept"), fa.alias("false_accept"), tr.alias("true_reject"), fr.alias("false_reject"),
+        both, keys, ta.alias("true_accept"), fa.alias("false_accept"), tr.alias("true_reject"), fr.alias("false_reject"),
         rate(ta + tr, F.count("*")).alias("accuracy"), rate(ta, ta + fa).alias("precision"), rate(ta, ta + fr).alias("recall"), rate(fa, tr + fa).alias("false_accept_rate"), rate(fr, ta + fr).alias("false_reject_rate"),
     )
 
@@ -99,8 +104,22 @@ def score_controls(results: DataFrame) -> DataFrame:
     return by_each(results, {"control": F.col("control"), "language": F.col("language")}, n.alias("expectations"), rate(F.count_if("output_match"), n).alias("output_accuracy"), rate(F.count_if("required_met"), n).alias("required_accuracy"), F.count_if("forbidden_hit").alias("forbidden_violations"), rate(F.count_if("full_match"), n).alias("full_accuracy"))
 
 
-def control_coverage(controls: DataFrame, least: int, languages: list[str]) -> DataFrame:
-    """Controls with fewer records than required or without a language; only controls seen in records are listed."""
-    have = controls.groupBy("control").agg(F.countDistinct("id").alias("records"), F.array_sort(F.collect_set("language")).alias("seen"))
-    missing = F.array_join(F.array_except(F.array(*map(F.lit, languages)), "seen"), ",")
+def control_counts(controls: DataFrame, configured: list[str] | None = None) -> DataFrame:
+    """Per control: records, expectations, those that name a rule, languages and profiles; configured controls without records too."""
+    rules = lambda e: (F.coalesce(F.size(e["required_rules"]), F.lit(0)) > 0) | (F.coalesce(F.size(e["forbidden_rules"]), F.lit(0)) > 0)
+    none = F.array().cast(controls.schema["expectations"].dataType)
+    each = controls.where("control <> ''").select("id", "control", "language", F.coalesce("expectations", none).alias("e"))
+    counted = each.groupBy("control").agg(
+        F.count("*").alias("records"), F.sum(F.size("e")).alias("expectations"), F.sum(F.size(F.filter("e", rules))).alias("rule_expectations"),
+        F.array_join(F.array_sort(F.collect_set("language")), ",").alias("languages"), F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("e.profile_id")))), ",").alias("profiles"),
+    )
+    wanted = controls.sparkSession.createDataFrame([(c,) for c in configured or []], "control string")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    return counted.join(wanted, "control", "full").select("control", *map(zero, ("records", "expectations", "rule_expectations")), *[F.coalesce(c, F.lit("")).alias(c) for c in ("languages", "profiles")])
+
+
+def control_coverage(controls: DataFrame, least: int, languages: list[str], configured: list[str] | None = None) -> DataFrame:
+    """Controls with fewer records than required or without a language, among those seen in records or configured."""
+    missing = F.array_join(F.array_except(F.array(*map(F.lit, languages)), F.split("languages", ",")), ",")
+    have = control_counts(controls, configured)
     return have.select("control", "records", missing.alias("missing_languages")).where((F.col("records") < least) | (F.col("missing_languages") != ""))

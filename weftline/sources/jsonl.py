@@ -4,26 +4,31 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def expand_paths(paths: Iterable[str]) -> list[str]:
-    """JSONL files of files, folders and patterns, each once, sorted. What does not exist is left out."""
-    found: set[Path] = set()
+def expand_paths(paths: Iterable[str], spark: SparkSession | None = None) -> list[str]:
+    """JSONL files of files, folders and patterns, each once, sorted, on any filesystem that Hadoop knows.
+
+    What does not exist is left out, as is a file with another ending. Names are whole addresses.
+    """
+    spark = spark or SparkSession.getActiveSession()
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found: set[str] = set()
     for p in map(str, paths):
-        at = Path(p)
-        if any(c in p for c in "*?["):
-            base = Path(at.anchor) if at.is_absolute() else Path()
-            found |= set(base.glob(str(at.relative_to(at.anchor)) if at.is_absolute() else p))
-        elif at.is_dir():
-            found |= set(at.rglob("*.jsonl"))
-        else:
-            found.add(at)
-    return sorted(str(f.resolve()) for f in found if f.suffix == ".jsonl" and f.is_file())
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        for at in fs.globStatus(fs.makeQualified(path)) or []:
+            if at.isDirectory():
+                files = fs.listFiles(at.getPath(), True)
+                while files.hasNext():
+                    found.add(files.next().getPath().toString())
+            else:
+                found.add(at.getPath().toString())
+    return sorted(f for f in found if f.endswith(".jsonl"))
 
 
 def read_jsonl(spark: SparkSession, paths: list[str], schema: StructType | str) -> DataFrame:
@@ -50,9 +55,8 @@ def broken_lines(lines: DataFrame) -> DataFrame:
 
 
 def registry(spark: SparkSession, path: str, key: str | None = None, schema: str | None = None) -> DataFrame:
-    """A JSON document on the driver's disk as a table: the list in it, or the list under ``key``."""
-    with open(path, encoding="utf-8") as f:
-        content = json.load(f)
+    """A JSON document as a table: the list in it, or the list under ``key``. It is small and passes through the driver."""
+    content = json.loads(spark.read.text(path, wholetext=True).first().value)
     rows = content[key] if key else content
     if isinstance(rows, dict):
         rows = [{"name": k, "value": json.dumps(v, sort_keys=True)} for k, v in sorted(rows.items())]
@@ -78,3 +82,11 @@ def exclusions(spark: SparkSession, paths: list[str]) -> DataFrame:
     rows = spark.read.schema(schema).option("multiLine", True).json(paths)
     stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)[_.]?(exclusions)?\.json$", 1)
     return rows.withColumn("source", F.coalesce("source", stem))
+
+
+CONTROL = "struct<id string, control string, language string, locale string, input string, expectations array<struct<profile_id string, expected_output string, required_rules array<string>, forbidden_rules array<string>>>>"
+
+
+def controls(lines: DataFrame) -> DataFrame:
+    """Control records: ``id, control, language, locale, input, expectations``."""
+    return lines.select(F.from_json("value", CONTROL).alias("r")).select("r.*").where("id is not null")
